@@ -13,8 +13,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Posts with null owners, null views, and null, empty and repeating tag lists."""
+    # props is {"k": 69}: without the characters of the frame only the number is left.
     events = _table(spark, sf_dir, "events").withColumn(
-        "k", F.expr("cast(regexp_extract(props, '([0-9]+)', 1) as int)")
+        "k", F.expr("""cast(translate(props, '{"k: }', '') as int)""")
     )
     return events.selectExpr(
         "event_id as post_id",

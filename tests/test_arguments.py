@@ -1,0 +1,51 @@
+import pytest
+
+import wayposts as wp
+from frames import posts
+from wayposts.arguments import whole_number
+
+
+@pytest.mark.parametrize("value", [20, "20", " 20 ", 0])
+def test_whole_numbers_pass(value):
+    assert whole_number("n", value) == int(value)
+
+
+@pytest.mark.parametrize("value", [-1, "-1", "two", "", 2.0, None, True, "1.5"])
+def test_anything_else_is_refused(value):
+    with pytest.raises(ValueError):
+        whole_number("n", value)
+
+
+def test_queries_check_before_planning(spark):
+    table = posts(spark)
+    for query in (
+        lambda: wp.top_tags(table, -1),
+        lambda: wp.top_tags(table, by="views"),
+        lambda: wp.top_tags(table, min_exclusive="many"),
+        lambda: wp.active_users(table, -1),
+        lambda: wp.active_users_ranked(table, 1.5),
+        lambda: wp.popular_owners(table, None),
+        lambda: wp.owner_route(table, 3, -1),
+        lambda: wp.owner_route(table, -3, 1),
+        lambda: wp.route_markers(table, "x", 1),
+        lambda: wp.map_points(table, -1),
+        lambda: wp.preview_posts(table, -1),
+        lambda: wp.kmeans_positions(table, 1),
+        lambda: wp.kmeans_positions(table, 0),
+        lambda: wp.heat_points(table, -1),
+        lambda: wp.post_markers(table, -1),
+    ):
+        with pytest.raises(ValueError):
+            query()
+
+
+def test_zero_rows_asked_for_gives_none(spark):
+    table = posts(spark, dict(owner="a", tags=["x"], views=1, latitude=0.0, longitude=0.0))
+    assert wp.top_tags(table, 0).count() == 0
+    assert wp.active_users(table, 0).count() == 0
+    assert wp.popular_owners(table, 0).count() == 0
+    assert wp.owner_route(table, 0, 10).count() == 0
+    assert wp.owner_route(table, 3, 0).count() == 0
+    assert wp.route_markers(table, 3, 0).count() == 0
+    assert wp.map_points(table, 0).count() == 0
+    assert wp.preview_posts(table, 0).count() == 0

@@ -1,0 +1,59 @@
+import pytest
+
+import wayposts as wp
+from frames import posts, tuples
+
+
+def _salaries(spark, *salaries):
+    return wp.literal_frame(spark, list(enumerate(salaries, 1)), "id int, salary int")
+
+
+def test_second_highest(spark):
+    assert tuples(wp.second_highest(_salaries(spark, 100, 200, 300), "salary")) == [(200,)]
+    assert tuples(wp.second_highest(_salaries(spark, 300, 200, 300, None), "salary")) == [(200,)]
+
+
+@pytest.mark.parametrize("salaries", [(), (5,), (5, 5), (None,)])
+def test_no_second_highest(spark, salaries):
+    assert tuples(wp.second_highest(_salaries(spark, *salaries), "salary")) == []
+
+
+def test_global_max(spark):
+    assert tuples(wp.global_max(_salaries(spark, 1, None, 3), "salary")) == [(3,)]
+
+
+def test_shape(spark):
+    assert tuples(wp.dataset_shape(posts(spark, {}, {}))) == [(2, 19)]
+    assert tuples(wp.dataset_shape(posts(spark))) == [(0, 19)]
+
+
+def test_preview_is_the_lowest_ids(spark):
+    table = posts(spark, *[dict(post_id=i, title=str(i)) for i in (5, 3, 9, 1)])
+    assert [row.post_id for row in wp.preview_posts(table, 3).collect()] == [1, 3, 5]
+    assert wp.preview_posts(table, 3).columns == table.columns
+    assert wp.preview_posts(table).count() == 4
+
+
+def test_missing_owner_counts_as_one_value(spark):
+    table = posts(spark, dict(owner="a"), dict(owner="a"), dict(owner=None), dict(owner="b"))
+    assert tuples(wp.distinct_owners(table)) == [(3,)]
+    assert tuples(wp.distinct_owners(table, approx=True)) == [(3,)]
+    assert tuples(wp.distinct_owners(table.where("owner = 'a'"))) == [(1,)]
+    assert tuples(wp.distinct_owners(posts(spark))) == [(0,)]
+    assert sorted(tuples(wp.distinct_owner_values(table)), key=str) == [("a",), ("b",), (None,)]
+
+
+def test_positions(spark):
+    table = posts(
+        spark, dict(latitude=1.0, longitude=2.0), dict(), dict(latitude=3.0, longitude=4.0)
+    )
+    assert tuples(wp.map_points(table, 2)) == [(1.0, 2.0), (None, None)]
+    assert wp.lat_lon(table).count() == 3
+
+
+def test_union_keeps_duplicates_and_matches_by_name(spark):
+    table = posts(spark, dict(owner="a"))
+    turned = table.select(*reversed(table.columns))
+    assert wp.union_posts(table, turned, table).where("owner = 'a'").count() == 3
+    assert wp.empty_like(table).schema == table.schema
+    assert wp.empty_like(table).count() == 0

@@ -1,0 +1,90 @@
+import datetime as dt
+
+import wayposts as wp
+from frames import day, posts, tuples
+from wayposts.schema import PALETTE
+
+
+def _post(owner, taken, latitude, views=1, longitude=0.0):
+    return dict(owner=owner, dateTaken=taken, latitude=latitude, longitude=longitude, views=views)
+
+
+def test_newest_post_of_each_position_newest_first(spark):
+    table = posts(
+        spark,
+        _post("a", day(1), 1.0),
+        _post("a", day(7), 1.0, views=70),
+        _post("a", day(3), 2.0, views=30),
+        _post("a", day(5), 3.0, views=50),
+        _post("b", day(9), 1.0, views=5),
+    )
+    assert tuples(wp.owner_route(table, 1, 2)) == [
+        ("a", 70, 1.0, 0.0, day(7)),
+        ("a", 50, 3.0, 0.0, day(5)),
+    ]
+    assert [row.views for row in wp.owner_route(table, 2, 9).collect()] == [70, 50, 30, 5]
+
+
+def test_positions_are_cut_per_owner_before_the_limit(spark):
+    # Ten copies at one place must not crowd out the other place.
+    rows = [_post("a", day(20 + i), 1.0) for i in range(10)] + [_post("a", day(1), 2.0)]
+    route = wp.owner_route(posts(spark, *rows), 1, 2).collect()
+    assert [row.latitude for row in route] == [1.0, 2.0]
+
+
+def test_ties_go_to_the_lowest_id(spark):
+    table = posts(spark, _post("a", day(1), 1.0, 10), _post("a", day(1), 1.0, 20))
+    assert [row.views for row in wp.owner_route(table, 1, 5).collect()] == [10]
+
+
+def test_missing_dates_come_last_and_missing_positions_are_a_position(spark):
+    table = posts(
+        spark,
+        _post("a", None, 1.0, 1),
+        _post("a", day(1), None, 2, None),
+        _post("a", day(0), None, 3, None),
+    )
+    assert [row.views for row in wp.owner_route(table, 1, 5).collect()] == [2, 1]
+
+
+def test_missing_owner_takes_a_place_but_no_colour(spark):
+    table = posts(
+        spark, _post(None, day(1), 1.0, 900), _post("a", day(1), 1.0, 9), _post("b", day(1), 1.0)
+    )
+    markers = wp.route_markers(table, 2, 5).collect()
+    assert [(row.owner, row.color) for row in markers] == [("a", PALETTE[0])]
+
+
+def test_sequence_counts_up_to_the_newest(spark):
+    table = posts(spark, *[_post("a", day(i), float(i)) for i in range(5)])
+    markers = wp.route_markers(table, 1, 3).collect()
+    assert [(row.dateTaken, row.seq) for row in markers] == [(day(4), 3), (day(3), 2), (day(2), 1)]
+
+
+def test_colours_start_again_after_twenty(spark):
+    table = posts(spark, *[_post(f"u{i:02}", day(1), 1.0, 100 - i) for i in range(22)])
+    colors = [row.color for row in wp.route_markers(table, 22, 1).collect()]
+    assert colors == [*PALETTE, PALETTE[0], PALETTE[1]]
+
+
+def test_marker_text(spark):
+    odd = dt.datetime(2024, 1, 2, 3, 4, 5, 60)
+    table = posts(
+        spark,
+        _post("Anna B. \N{GRINNING FACE}", dt.datetime(2024, 1, 2, 3, 4, 5), 1.0, 7),
+        _post("käse_9", odd, 1.0, 6),
+        _post("käse_9", None, 2.0, None),
+        _post("\N{GRINNING FACE}", day(0), 1.0, 1),
+    )
+    assert [row.info for row in wp.route_markers(table, 3, 5).collect()] == [
+        "Post by AnnaB 2024-01-02 03:04:05 views: 7",
+        "Post by käse9 2024-01-02 03:04:05.000060 views: 6",
+        "Post by käse9 null views: null",
+        "Post by  2024-01-01 00:00:00 views: 1",
+    ]
+
+
+def test_route_columns(spark):
+    columns = ["owner", "views", "latitude", "longitude", "dateTaken"]
+    assert wp.owner_route(posts(spark)).columns == columns
+    assert wp.route_markers(posts(spark)).columns == [*columns, "seq", "color", "info"]

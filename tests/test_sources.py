@@ -1,0 +1,149 @@
+import datetime as dt
+
+import pytest
+
+import wayposts as wp
+from frames import by_key, day, posts, tuples
+from wayposts.functions import parse_tags
+from wayposts.schema import POSTS_CSV_SCHEMA, POSTS_SCHEMA
+from wayposts.sources.shared_folder import fresh_path, materialize, shared_folder
+
+
+@pytest.mark.parametrize(
+    "text, tags",
+    [
+        ("['a', 'b']", ["a", "b"]),
+        ("""["it's", 'b']""", ["it's", "b"]),
+        ("[]", []),
+        (None, None),
+        ("oops", None),
+        ("['a'", None),
+        (r"""['it\'s "so"', 'b']""", ["it's \"so\"", "b"]),
+        (r"['\xe9té']", ["été"]),
+        (r"['a\\xe9']", [r"a\xe9"]),
+        (r"['a\nb']", ["a\nb"]),
+        ("['\N{GRINNING FACE}', 'a, b']", ["\N{GRINNING FACE}", "a, b"]),
+    ],
+)
+def test_tag_text(spark, text, tags):
+    frame = wp.literal_frame(spark, [(text,)], "t string")
+    assert tuples(frame.select(parse_tags("t"))) == [(tags,)]
+
+
+def _raw(spark, *rows):
+    base = dict(
+        owner="a", datePosted="2024-01-01 00:00:00", dateTaken="2024-01-01 00:00:00",
+        views="5", tags="['x']", latitude="1.5", longitude="2.5",
+    )
+    values = []
+    for number, row in enumerate(rows, 1):
+        full = {"post_id": str(number), **base, **row}
+        values.append([full.get(name) for name in POSTS_CSV_SCHEMA.names])
+    return wp.literal_frame(spark, values, POSTS_CSV_SCHEMA)
+
+
+def test_cleaning_casts(spark):
+    raw = _raw(
+        spark,
+        dict(views="12.0", accuracy="16", familyFlag="True", publicFlag="0",
+             lastUpdate="2024-02-03 04:05:06.789"),
+    )
+    clean = wp.clean_posts(raw)
+    assert clean.schema.simpleString() == POSTS_SCHEMA.simpleString()
+    row = clean.first()
+    assert (row.views, row.accuracy, row.familyFlag, row.publicFlag) == (12, 16, True, False)
+    assert row.lastUpdate == dt.datetime(2024, 2, 3, 4, 5, 6, 789000)
+    assert (row.tags, row.latitude, row.datePosted) == (["x"], 1.5, day(0))
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [dict(views="many"), dict(views="1.5"), dict(owner=None), dict(tags="oops"),
+     dict(latitude="north"), dict(datePosted="yesterday"), dict(post_id="x")],
+)
+def test_cleaning_drops_posts_with_gaps(spark, bad):
+    assert wp.clean_posts(_raw(spark, bad, {})).count() == 1
+
+
+def test_cleaning_ignores_gaps_in_other_columns(spark):
+    assert wp.clean_posts(_raw(spark, dict(accuracy="?", title=None))).count() == 1
+
+
+def test_last_update_wins_then_content(spark):
+    versions = [
+        dict(post_id="1", views="1", lastUpdate="2024-01-01 00:00:00"),
+        dict(post_id="1", views="2", lastUpdate="2024-01-02 00:00:00"),
+        dict(post_id="1", views="3"),
+        dict(post_id="2", views="5"),
+        dict(post_id="2", views="4"),
+        dict(post_id="3", views="6"),
+        dict(post_id="3", views="6"),
+    ]
+    for order in (versions, versions[::-1]):
+        clean = wp.clean_posts(_raw(spark, *order))
+        assert by_key(clean.select("post_id", "views")) == {1: (2,), 2: (4,), 3: (6,)}
+
+
+def test_posts_without_ids_get_one_from_their_content(spark):
+    raw = _raw(spark, dict(title="a"), dict(title="b"), dict(title="a")).drop("post_id")
+    clean = wp.clean_posts(raw)
+    assert clean.schema.names == POSTS_SCHEMA.names
+    first = by_key(clean.select("title", "post_id"))
+    assert len(first) == 2 and len(set(first.values())) == 2
+    assert by_key(wp.clean_posts(raw.repartition(3)).select("title", "post_id")) == first
+
+
+def test_csv_with_quotes_line_breaks_and_commas(spark):
+    text = 'say "hi",\nthen\\n go \N{GRINNING FACE}'
+    raw = _raw(spark, dict(description=text, title="a,b"), dict(title="plain"))
+    path = fresh_path(spark, "csv")
+    raw.write.csv(path, header=True, escape='"')
+    back = wp.read_csv_posts(spark, path)
+    assert back.schema == POSTS_CSV_SCHEMA
+    assert sorted(tuples(back)) == sorted(tuples(raw))
+
+
+def test_csv_columns_must_match(spark):
+    path = fresh_path(spark, "csv")
+    _raw(spark, {}).select(*reversed(POSTS_CSV_SCHEMA.names)).write.csv(path, header=True)
+    with pytest.raises(Exception, match="header"):
+        wp.read_csv_posts(spark, path).collect()
+
+
+def test_csv_without_ids_and_line_breaks(spark):
+    path = fresh_path(spark, "csv")
+    _raw(spark, dict(title="a"), dict(title="b")).drop("post_id").write.csv(path, header=True)
+    loaded = wp.load_posts(spark, path, has_post_id=False, multiline=False)
+    assert loaded.count() == 2
+
+
+def test_repair_keeps_all_posts(spark):
+    table = posts(spark, dict(tags=["old"]), dict(tags=["old"]))
+    typed = wp.literal_frame(spark, [(1, ["new"]), (9, ["other"])], "post_id long, tags array<string>")
+    fixed = wp.repair_column(table, typed)
+    assert fixed.columns == table.columns
+    assert by_key(fixed.select("post_id", "tags")) == {1: (["new"],), 2: (None,)}
+
+
+def test_load_with_typed_tags(spark):
+    path = fresh_path(spark, "csv")
+    _raw(spark, dict(tags="unreadable", post_id="1.0"), {}).write.csv(path, header=True)
+    typed = wp.literal_frame(spark, [(1, ["new"])], "post_id long, tags array<string>")
+    assert by_key(wp.load_posts(spark, path, typed).select("post_id", "tags")) == {1: (["new"],)}
+
+
+def test_published_table_and_saved_result(spark):
+    table = posts(spark, dict(owner="a", views=5, tags=["x"]))
+    assert wp.publish(table, "some_posts").count() == 1
+    assert spark.sql("select owner from some_posts where `views` < 6").count() == 1
+    path = fresh_path(spark, "chart")
+    wp.save_result(wp.tag_chart_data(wp.top_tags(table)), path)
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_shared_folder_is_the_one_the_session_names(spark):
+    assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    table = posts(spark, dict(tags=["x"]))
+    written = materialize(table, "posts")
+    assert tuples(written) == tuples(table)
+    assert all(shared_folder(spark) in file for file in written.inputFiles())

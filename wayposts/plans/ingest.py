@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from wayposts.operators.joining import repair_column
-from wayposts.sources.cleaning import clean_posts
+from wayposts.sources.cleaning import clean_posts, type_posts
 from wayposts.sources.csv_posts import read_csv_posts
 
 
@@ -16,12 +16,10 @@ def load_posts(
 ) -> DataFrame:
     """Read, repair and clean an export.
 
-    The text of the tag lists is parsed, unless ``typed_tags`` (``post_id, tags``) gives them
-    as arrays. Write the result as parquet once and run the queries on that.
+    The text of the tag lists is parsed, unless ``typed_tags`` (``post_id, tags``, one row per
+    post) gives them as arrays. Write the result as parquet once and run the queries on that.
     """
-    raw = read_csv_posts(spark, csv_path, has_post_id, multiline)
+    posts = type_posts(read_csv_posts(spark, csv_path, has_post_id, multiline))
     if typed_tags is not None:
-        raw = repair_column(
-            raw, typed_tags.withColumn("post_id", typed_tags.post_id.cast("string"))
-        )
-    return clean_posts(raw)
+        posts = repair_column(posts, typed_tags)
+    return clean_posts(posts)
