@@ -1,0 +1,110 @@
+"""What Spark is asked to do: which columns are read, what is shuffled and what is sent where."""
+
+import re
+
+import pytest
+
+import wayposts as wp
+from checks import fixtures, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("posts") / "posts.parquet")
+    fixtures.posts_from_events(spark, SF_DIR).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _scans(df) -> list[set[str]]:
+    found = re.findall(r"FileScan parquet \[([^\]]*)\]", _plan(df))
+    return [{re.sub(r"#\d+L?", "", c) for c in scan.split(",") if c} for scan in found]
+
+
+def _pushed(df) -> str:
+    return " ".join(re.findall(r"PushedFilters: \[[^\]]*\]", _plan(df)))
+
+
+@pytest.mark.parametrize(
+    "query, columns",
+    [
+        (wp.dataset_shape, [set()]),
+        (wp.lat_lon, [{"latitude", "longitude"}]),
+        (wp.distinct_owners, [{"owner"}]),
+        (wp.owner_stats, [{"owner", "views", "datePosted"}]),
+        (wp.owner_popularity, [{"owner", "views"}]),
+        (wp.top_tags, [{"tags", "views"}]),
+        (wp.active_users, [{"owner", "tags"}, {"owner", "views", "datePosted"}]),
+        (
+            wp.owner_route,
+            [
+                {"post_id", "owner", "views", "latitude", "longitude", "dateTaken"},
+                {"owner", "views"},
+            ],
+        ),
+        (
+            wp.distinct_positions,
+            [{"post_id", "views", "latitude", "longitude", "dateTaken"}],
+        ),
+    ],
+)
+def test_only_needed_columns_are_read_and_no_table_more_than_needed(table, query, columns):
+    assert _scans(query(table)) == columns
+
+
+def test_filters_reach_the_scan(table):
+    assert "EqualTo(owner,u7)" in _pushed(wp.owner_posts(table, "u7"))
+    assert "IsNotNull(tags)" in _pushed(wp.top_tags(table))
+    assert "IsNotNull(latitude)" in _pushed(wp.distinct_positions(table))
+    assert "LessThanOrEqual(post_id,ScalarSubquery" in _pushed(wp.preview_posts(table))
+    assert "LessThan(views,ScalarSubquery" in _pushed(wp.second_highest(table, "views"))
+
+
+@pytest.mark.parametrize("query", [wp.owner_route, wp.active_users, wp.route_markers])
+def test_ranked_owners_are_broadcast_and_posts_stay(table, query):
+    plan = _plan(query(table))
+    assert plan.count("BroadcastHashJoin") == 1
+    assert "SortMergeJoin" not in plan and "Union" not in plan
+    assert plan.count("TakeOrderedAndProject") == 2
+
+
+def test_groups_are_cut_before_they_are_shuffled(table):
+    for df, cuts in (
+        (wp.owner_route(table), 2),
+        (wp.active_users(table), 1),
+        (wp.distinct_positions(table), 1),
+        (wp.clean_posts(table), 1),
+        (wp.heat_points(table.selectExpr("*", "accuracy as prediction")), 1),
+    ):
+        assert len(re.findall(r"WindowGroupLimit .* Partial", _plan(df))) == cuts
+
+
+def test_only_short_reports_are_numbered_in_one_task(table):
+    for query in (wp.active_users_ranked, wp.active_users, wp.owner_route):
+        plan = _plan(query(table))
+        assert "Exchange SinglePartition" not in plan
+        numbering = plan.index("TakeOrderedAndProject", plan.index("Window [row_number"))
+        assert numbering > 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_no_pair_of_tables_is_crossed_and_no_row_visits_python(spark, name):
+    plan = _plan(queries.queries()[name](spark, SF_DIR))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
+        assert operator not in plan
+
+
+@pytest.mark.parametrize(
+    "query",
+    [
+        lambda t: wp.owner_route(t, 3, 10),
+        lambda t: wp.owner_route(t, 3000, 10),
+    ],
+)
+def test_plan_does_not_grow_with_the_number_of_owners(table, query):
+    assert len(_scans(query(table))) == 2
