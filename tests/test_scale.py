@@ -167,6 +167,9 @@ def test_large_limits_are_cut_in_slices_first(skewed, skewed_rows, no_group_limi
     assert tuples(route) == _expected_route(skewed_rows, 4, 12)
     markers = wp.route_markers(skewed, 4, 12).collect()
     assert [tuple(row)[:5] for row in markers] == _expected_route(skewed_rows, 4, 12)
+    assert _users(skewed, 6) == _expected_users(skewed_rows, 6)
+    copies = wp.union_posts(skewed, *[skewed.where("post_id = 5")] * 40)
+    assert wp.clean_posts(copies, ["post_id"]).count() == 3000
 
 
 def test_slices_keep_whole_groups_when_the_limit_exceeds_them(skewed, no_group_limit):

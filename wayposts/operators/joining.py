@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wayposts.operators.ranking import shuffle_partitions, slice_of
+from wayposts.operators.ranking import shuffle_partitions
 
 # A list of at most this many rows (a key and a few numbers each) is broadcast.
 BROADCAST_ROWS = 10_000
@@ -22,7 +22,9 @@ def join_ranked(posts: DataFrame, ranked: DataFrame, key: str, rows: int) -> Dat
         return posts.join(F.broadcast(ranked), key, "inner")
     slices = max(2, min(shuffle_partitions(posts.sparkSession), COPIED_ROWS // rows))
     copies = ranked.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    sliced = posts.withColumn("_slice", slice_of("post_id", slices))
+    sliced = posts.withColumn(
+        "_slice", F.pmod(F.xxhash64("post_id"), F.lit(slices)).cast("int")
+    )
     return sliced.join(copies, [key, "_slice"], "inner").drop("_slice")
 
 
@@ -31,5 +33,6 @@ def repair_column(posts: DataFrame, typed: DataFrame, column: str = "tags") -> D
 
     All posts are kept; one that ``typed`` lacks gets null.
     """
+    columns = posts.columns if column in posts.columns else [*posts.columns, column]
     fixed = typed.select("post_id", column)
-    return posts.drop(column).join(fixed, "post_id", "left").select(*posts.columns)
+    return posts.drop(column).join(fixed, "post_id", "left").select(*columns)

@@ -14,11 +14,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slice_of(unique_column: str, slices: int) -> Column:
-    """A slice number from 0 to ``slices - 1``, spread evenly over the rows of any group."""
-    return F.pmod(F.xxhash64(unique_column), F.lit(slices)).cast("int")
-
-
 def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """The first ``n`` rows in ``order``: every task keeps its own ``n`` before the merge."""
     return df.orderBy(*order).limit(n)
@@ -46,20 +41,21 @@ def top_per_group(
     keys: Sequence[str],
     order: Sequence[Column],
     n: int,
-    unique: str = "post_id",
     name: str | None = None,
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their place in column ``name`` if given.
 
     Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts every group to ``n``
     rows before the shuffle, so a group of any size is safe. Above it Spark would send whole
-    groups to one task each; there the groups are first cut in slices by ``unique``. The first
-    ``n`` of a group are among the first ``n`` of its slices, so the result is the same.
+    groups to one task each; there the groups are first cut in slices, each the rows of some
+    of the input partitions. The first ``n`` rows of a group are among the first ``n`` of its
+    slices, so the result is the same.
     """
     spark = df.sparkSession
     place = name or "_place"
     if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        df = df.withColumn("_slice", slice_of(unique, shuffle_partitions(spark)))
+        slices = shuffle_partitions(spark)
+        df = df.withColumn("_slice", F.spark_partition_id() % slices)
         df = _cut(df, [*keys, "_slice"], order, n, place).drop(place, "_slice")
     top = _cut(df, keys, order, n, place)
     return top if name else top.drop(place)
