@@ -304,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
                 from posts where owner = 'u7'"""
         ),
         "posts_view": _posts("select post_id, views from posts where views > 1000"),
-        "empty_like": _posts(f"select {_ALL_COLUMNS} from posts where false"),
+        "empty_like": _posts("select post_id, owner, views from posts"),
         "global_max": _posts("select max(views) as views from posts"),
         "second_highest_views": _posts(
             "select max(views) as views from posts where views < (select max(views) from posts)"

@@ -66,7 +66,9 @@ _on(
         "post_id", "owner", "views", "tags", "datePosted"
     ),
     posts_view=lambda posts: wp.publish(posts).where("`views` > 1000").select("post_id", "views"),
-    empty_like=wp.empty_like,
+    empty_like=lambda posts: wp.union_posts(wp.empty_like(posts), posts).select(
+        "post_id", "owner", "views"
+    ),
     global_max=lambda posts: wp.global_max(posts, "views"),
     second_highest_views=lambda posts: wp.second_highest(posts, "views"),
     distinct_positions=wp.distinct_positions,

@@ -1,7 +1,5 @@
 """Each registered query against its SQL on the same tables."""
 
-import math
-
 import duckdb
 import pytest
 
@@ -29,8 +27,6 @@ def _sortable(row):
 
 
 def _same(ours, theirs):
-    if isinstance(ours, float) and isinstance(theirs, float):
-        return math.isclose(ours, theirs, rel_tol=0, abs_tol=1e-9)
     return type(ours) is type(theirs) and ours == theirs
 
 
