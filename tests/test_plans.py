@@ -84,6 +84,12 @@ def test_groups_are_cut_before_they_are_shuffled(table):
         assert len(re.findall(r"WindowGroupLimit .* Partial", _plan(df))) == cuts
 
 
+def test_sort_keys_are_not_shuffled_twice(table):
+    # A computed sort key would travel with its row as one more column.
+    for query in (wp.clean_posts, wp.active_users, wp.owner_route, wp.distinct_positions):
+        assert "_w0" not in _plan(query(table))
+
+
 def test_only_short_reports_are_numbered_in_one_task(table):
     for query in (wp.active_users_ranked, wp.active_users, wp.owner_route):
         plan = _plan(query(table))

@@ -84,6 +84,18 @@ def test_marker_text(spark):
     ]
 
 
+def test_marker_text_does_not_depend_on_the_time_zone(spark):
+    # In New York this hour was skipped.
+    table = posts(spark, _post("a", dt.datetime(2024, 3, 10, 2, 30), 1.0))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        info = wp.route_markers(table, 1, 1).first().info
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert info == "Post by a 2024-03-10 02:30:00 views: 1"
+
+
 def test_route_columns(spark):
     columns = ["owner", "views", "latitude", "longitude", "dateTaken"]
     assert wp.owner_route(posts(spark)).columns == columns

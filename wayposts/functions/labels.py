@@ -12,10 +12,11 @@ def alphanumeric(text) -> Column:
 
 
 def timestamp_text(moment) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``, followed by the microseconds where there are any."""
-    return F.regexp_replace(
-        F.date_format(moment, "yyyy-MM-dd HH:mm:ss.SSSSSS"), r"\.000000$", ""
-    )
+    """``yyyy-MM-dd HH:mm:ss``, followed by six digits of a second where they are not all 0."""
+    # The cast drops the zeros at the end of a fraction. Unlike date_format it does not pass
+    # through the session's time zone, where some local times do not exist.
+    text = F.col(moment).cast("string")
+    return F.when(F.length(text) > 19, F.rpad(text, 26, "0")).otherwise(text)
 
 
 def _or_null_text(text: Column) -> Column:

@@ -40,6 +40,6 @@ def clean_posts(raw: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> D
     complete = typed.dropna(subset=[c for c in required if c in typed.columns])
     if "post_id" not in typed.columns:
         return complete.distinct().select(F.xxhash64(*typed.columns).alias("post_id"), "*")
-    content = F.struct(*[c for c in typed.columns if c != "post_id"])
-    order = [F.col("lastUpdate").desc_nulls_last(), content.asc()]
+    content = [F.col(c).asc() for c in typed.columns if c != "post_id"]
+    order = [F.col("lastUpdate").desc_nulls_last(), *content]
     return top_per_group(complete, ["post_id"], order, 1)
