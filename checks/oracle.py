@@ -187,7 +187,7 @@ score as (select avg((other - own) / greatest(own, other)) as silhouette from sc
 
 
 def _text(moment: str) -> str:
-    return f"strftime({moment}, '%Y-%m-%d %H:%M:%S.%f')"
+    return f"cast({moment} as varchar)"
 
 
 def _list(tags: str = "tags") -> str:
@@ -236,7 +236,8 @@ _ROUTE_COLUMNS = f'owner, views, {_POSITION}, {_moments("dateTaken")}'
 _MARKERS = f"""
 select {_ROUTE_COLUMNS}, seq, {_color("owner_index")} as color,
   'Post by ' || regexp_replace(owner, '[^\\p{{L}}\\p{{N}}]', '', 'g') || ' '
-    || coalesce(regexp_replace({_text('"dateTaken"')}, '\\.000000$', ''), 'null')
+    || coalesce(regexp_replace(
+         strftime("dateTaken", '%Y-%m-%d %H:%M:%S.%f'), '\\.000000$', ''), 'null')
     || ' views: ' || coalesce(cast(views as varchar), 'null') as info
 from markers"""
 
@@ -259,8 +260,8 @@ _TYPED_RAW = f"""
 select post_id,
   case when post_id % 107 = 0 then null else {_text('"datePosted"')} end as "datePosted",
   {_moments("dateTaken")}, description, "familyFlag", "friendFlag", "hasPeople",
-  strftime(case when version = 1 then "lastUpdate" - to_hours(1) else "lastUpdate" end,
-           '%Y-%m-%d %H:%M:%S.%f') as "lastUpdate",
+  cast(case when version = 1 then "lastUpdate" - to_hours(1) else "lastUpdate" end as varchar)
+    as "lastUpdate",
   media, owner, "placeId", "publicFlag", {_list()} as tags, title, url,
   case when version = 1 then views + 1 else views end as views,
   case when post_id % 103 = 0 then null else round(latitude, 6) end as latitude,

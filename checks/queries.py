@@ -26,9 +26,7 @@ def _plain(field: T.StructField) -> Column:
     elif isinstance(field.dataType, T.ArrayType):
         column = F.array_join(column, ",")
     elif isinstance(field.dataType, T.TimestampNTZType):
-        text = column.cast("string")
-        dotted = F.when(F.length(text) == 19, F.concat(text, F.lit("."))).otherwise(text)
-        column = F.rpad(dotted, 26, "0")
+        column = column.cast("string")
     elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
         column = column.cast("bigint")
     return column.alias(field.name)

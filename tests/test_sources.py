@@ -147,3 +147,55 @@ def test_shared_folder_is_the_one_the_session_names(spark):
     written = materialize(table, "posts")
     assert tuples(written) == tuples(table)
     assert all(shared_folder(spark) in file for file in written.inputFiles())
+
+
+class _Session:
+    """The few parts of a session the choice of a folder looks at."""
+
+    def __init__(self, named=None, master="local[2]", chosen=None):
+        self.master, self.chosen, self.named = master, chosen, named
+        self.conf = self.sparkContext = self
+
+    def get(self, key, default):
+        assert key == "spark.checkpoint.dir"
+        return self.named or default
+
+    def getCheckpointDir(self):
+        return self.chosen
+
+    def setCheckpointDir(self, path):
+        self.chosen = path
+
+
+def test_choice_of_the_shared_folder():
+    assert shared_folder(_Session(named="hdfs://shared/x", master="yarn")) == "hdfs://shared/x"
+    assert shared_folder(_Session(chosen="/mnt/shared", master="yarn")) == "/mnt/shared"
+    local = _Session()
+    assert shared_folder(local) == shared_folder(local) == local.chosen
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(_Session(master="yarn"))
+
+
+def test_load_with_many_copies_of_one_post(spark):
+    path = fresh_path(spark, "csv")
+    copies = [dict(post_id="1", lastUpdate=f"2024-01-01 00:00:{i % 60:02}") for i in range(300)]
+    _raw(spark, *copies, dict(post_id="2"), dict(post_id="3", tags="[]")).repartition(4).write.csv(
+        path, header=True
+    )
+    assert by_key(wp.load_posts(spark, path).select("post_id", "lastUpdate")) == {
+        1: (dt.datetime(2024, 1, 1, 0, 0, 59),), 2: (None,), 3: (None,)
+    }
+    typed = wp.literal_frame(
+        spark, [(1, ["new"]), (3, None)], "post_id long, tags array<string>"
+    )
+    loaded = wp.load_posts(spark, path, typed)
+    assert by_key(loaded.select("post_id", "tags")) == {1: (["new"],)}
+    # The copies are gone before the join, which needs no second shuffle of the posts.
+    plan = loaded._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Join") < plan.index("WindowGroupLimit")
+    assert plan.count("Exchange hashpartitioning(post_id") <= 2
+
+
+def test_typed_tags_need_ids(spark):
+    with pytest.raises(ValueError, match="post_id"):
+        wp.load_posts(spark, "/nowhere", spark.range(1), has_post_id=False)
