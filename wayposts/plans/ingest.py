@@ -20,11 +20,11 @@ def load_posts(
     The text of the tag lists is parsed, unless ``typed_tags`` (``post_id, tags``, one row per
     post) gives them as arrays. Write the result as parquet once and run the queries on that.
     """
+    if typed_tags is not None and not has_post_id:
+        raise ValueError("typed tags are matched by post_id, which the export lacks")
     raw = read_csv_posts(spark, csv_path, has_post_id, multiline)
     if typed_tags is None:
         return clean_posts(raw)
-    if not has_post_id:
-        raise ValueError("typed tags are matched by post_id, which the export lacks")
     # All copies of a post get the same tags, so the copies are dropped before the join: it
     # then meets no post twice, and finds the posts partitioned by its key.
     others = [column for column in REQUIRED_COLUMNS if column != "tags"]
