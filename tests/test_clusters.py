@@ -1,4 +1,7 @@
+import random
+
 import numpy as np
+import pandas as pd
 import pytest
 
 import wayposts as wp
@@ -135,6 +138,26 @@ def test_markers_are_the_lower_half(spark):
     assert wp.post_markers(table, 1).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 4, 7, 50])
+def test_heat_points_and_markers_against_pandas(spark, n):
+    chance = random.Random(n)
+    views = chance.sample(range(1000), 90)
+    rows = [(i % 4, view) for i, view in enumerate(views)] + [(0, None), (2, None)]
+    chance.shuffle(rows)
+    table = _assignments(spark, *rows)
+    heat, markers = set(), set()
+    frame = pd.DataFrame(
+        {"cluster": [r[0] for r in rows], "views": [r[1] for r in rows]},
+        index=range(1, len(rows) + 1),
+    )
+    for _, cluster in frame.groupby("cluster"):
+        top = cluster.sort_values("views").tail(n)
+        heat |= set(top.index)
+        markers |= set(top.index[: n // 2])
+    assert {row.post_id for row in wp.heat_points(table, n).collect()} == heat
+    assert {row.post_id for row in wp.post_markers(table, n).collect()} == markers
+
+
 def test_fewer_posts_than_half_the_limit_are_all_shown(spark):
     assert wp.post_markers(_assignments(spark, (0, 1), (0, 2)), 10).count() == 2
 
