@@ -119,7 +119,9 @@ def test_csv_without_ids_and_line_breaks(spark):
 
 def test_repair_keeps_all_posts(spark):
     table = posts(spark, dict(tags=["old"]), dict(tags=["old"]))
-    typed = wp.literal_frame(spark, [(1, ["new"]), (9, ["other"])], "post_id long, tags array<string>")
+    typed = wp.literal_frame(
+        spark, [(1, ["new"]), (9, ["other"])], "post_id long, tags array<string>"
+    )
     fixed = wp.repair_column(table, typed)
     assert fixed.columns == table.columns
     assert by_key(fixed.select("post_id", "tags")) == {1: (["new"],), 2: (None,)}

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wayposts.operators.ranking import shuffle_partitions
 
-# A list of at most this many rows (a key and a few numbers each) is broadcast.
+# A list of at most this many rows (an owner's name and a few numbers each) is broadcast.
 BROADCAST_ROWS = 10_000
 # A longer list is copied once per slice of the posts, up to this many copied rows.
 COPIED_ROWS = 10_000_000
