@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 
@@ -30,6 +31,23 @@ def test_tag_text(spark, text, tags):
     assert tuples(frame.select(parse_tags("t"))) == [(tags,)]
 
 
+def test_tag_text_as_python_writes_it(spark):
+    chance = random.Random(3)
+    letters = [
+        *"ab ,'\"[]\\xU09/$", "\n", "\t", "\x00", "\x7f", "\xa0", "é", "\u200b", "\u4e2d",
+        "\N{GRINNING FACE}", "\U000e0001", "\U0010ffff",
+    ]
+    lists = [
+        ["".join(chance.choices(letters, k=chance.randrange(9))) for _ in range(chance.randrange(5))]
+        for _ in range(2000)
+    ]
+    frame = wp.literal_frame(
+        spark, [(i, str(tags)) for i, tags in enumerate(lists)], "i int, t string"
+    )
+    read = dict(tuples(frame.select("i", parse_tags("t"))))
+    assert [read[i] for i in range(len(lists))] == lists
+
+
 def _raw(spark, *rows):
     base = dict(
         owner="a", datePosted="2024-01-01 00:00:00", dateTaken="2024-01-01 00:00:00",

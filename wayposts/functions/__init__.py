@@ -2,7 +2,7 @@
 
 from wayposts.functions.labels import (
     alphanumeric,
-    centroid_text,
+    center_text,
     palette_color,
     post_text,
     prefixed,
@@ -12,7 +12,7 @@ from wayposts.functions.tag_text import parse_tags
 
 __all__ = [
     "alphanumeric",
-    "centroid_text",
+    "center_text",
     "palette_color",
     "parse_tags",
     "post_text",

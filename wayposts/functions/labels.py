@@ -3,7 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wayposts.schema import PALETTE
+from wayposts.schema import CENTER_TEXT, PALETTE, POST_TEXT
 
 
 def alphanumeric(text) -> Column:
@@ -25,21 +25,17 @@ def _or_null_text(text: Column) -> Column:
 
 def post_text(owner, taken, views) -> Column:
     """The info text of a post marker."""
-    return F.concat(
-        F.lit("Post by "),
+    return F.format_string(
+        POST_TEXT,
         alphanumeric(owner),
-        F.lit(" "),
         _or_null_text(timestamp_text(taken)),
-        F.lit(" views: "),
         _or_null_text(F.col(views).cast("string")),
     )
 
 
-def centroid_text(cluster, size) -> Column:
+def center_text(cluster, size) -> Column:
     """The info text of a cluster centre marker."""
-    return F.format_string(
-        "Centroid of cluster %d with %d elements inside", F.col(cluster), F.col(size)
-    )
+    return F.format_string(CENTER_TEXT, F.col(cluster), F.col(size))
 
 
 def prefixed(prefix: str, number) -> Column:

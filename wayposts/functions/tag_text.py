@@ -1,15 +1,36 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A backslash that is not itself escaped, with any escaped ones before it in group 1.
+_ESCAPE = r"(?<!\\)((?:\\\\)*)\\"
+
+
+def _byte_escapes_as_json(text: Column) -> Column:
+    r"""``\xe9`` as ``é``, which is how JSON spells it."""
+    return F.regexp_replace(text, _ESCAPE + r"x([0-9a-fA-F]{2})", r"$1\\u00$2")
+
+
+def _long_escapes_read(text: Column) -> Column:
+    r"""``\U0001f600``, for which JSON has no spelling, as the character itself."""
+    codes = F.regexp_extract_all(text, F.lit(_ESCAPE + r"U([0-9a-fA-F]{8})"), F.lit(2))
+    return F.aggregate(
+        F.array_distinct(codes),
+        text,
+        lambda read, code: F.regexp_replace(
+            read,
+            F.concat(F.lit(_ESCAPE + "U"), code),
+            F.concat(F.lit("$1"), F.decode(F.unhex(code), "UTF-32")),
+        ),
+    )
+
 
 def parse_tags(text) -> Column:
     """A list written as text, ``['a', "it's"]``, as ``array<string>``; bad text gives null."""
-    # JSON spells the byte escape \xNN as \u00NN. An escaped backslash before an x stays.
-    as_json = F.regexp_replace(
-        text, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2"
-    )
+    text = F.col(text)
+    text = F.when(text.contains("\\U"), _long_escapes_read(text)).otherwise(text)
+    text = F.when(text.contains("\\x"), _byte_escapes_as_json(text)).otherwise(text)
     return F.from_json(
-        as_json,
+        text,
         "array<string>",
         {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"},
     )

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayposts.functions import prefixed
+from wayposts.schema import OWNER_LABEL
 
 
 def _bars(report: DataFrame, label, *measures: str) -> DataFrame:
@@ -20,4 +21,4 @@ def tag_chart_data(top_tags: DataFrame) -> DataFrame:
 
 def owner_chart_data(active_users: DataFrame) -> DataFrame:
     """Posts and mean views of the owners of an ``active_users`` result, as U1, U2, ..."""
-    return _bars(active_users, prefixed("U", "id"), "num_post", "mean_views")
+    return _bars(active_users, prefixed(OWNER_LABEL, "id"), "num_post", "mean_views")

@@ -10,10 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayposts.arguments import whole_number
-from wayposts.functions import centroid_text, palette_color, prefixed
+from wayposts.functions import center_text, palette_color, prefixed
 from wayposts.operators.distinct import distinct_positions
 from wayposts.operators.ranking import top_per_group
-from wayposts.schema import CENTER_COLOR, KMEANS_INIT, KMEANS_SEED, POSITION
+from wayposts.schema import (
+    CENTER_COLOR,
+    CENTER_LABEL,
+    KMEANS_INIT,
+    KMEANS_SEED,
+    POSITION,
+)
 from wayposts.sources.shared_folder import materialize
 from wayposts.sources.tables import literal_frame
 
@@ -46,7 +52,7 @@ def fit_clusters(posts: DataFrame, k: int = 5) -> Clusters:
     """
     k = whole_number("k", k, least=2)
     positions = materialize(distinct_positions(posts), "positions")
-    if len(positions.select("post_id").take(2)) < 2:
+    if positions.limit(2).count() < 2:
         raise ValueError("k-means needs posts at two or more distinct positions")
     kmeans = KMeans(k=k, seed=KMEANS_SEED, initMode=KMEANS_INIT)
     return Clusters(positions, kmeans.fit(_with_features(positions).select("features")))
@@ -117,8 +123,8 @@ def center_markers(centers: DataFrame, assignments: DataFrame) -> DataFrame:
         "latitude",
         "longitude",
         F.lit(CENTER_COLOR).alias("color"),
-        prefixed("C", "cluster").alias("label"),
-        centroid_text("cluster", "size").alias("info"),
+        prefixed(CENTER_LABEL, "cluster").alias("label"),
+        center_text("cluster", "size").alias("info"),
     )
 
 

@@ -49,12 +49,17 @@ REQUIRED_COLUMNS = (
 
 POSITION = ("latitude", "longitude")
 
-# Colours given in turn to owners and clusters on the maps.
+# The colours given in turn to owners and clusters on the maps, the texts of the
+# markers, and the start of the k-means fit.
 PALETTE = (
     "red", "orange", "yellow", "green", "blue", "purple", "brown", "pink", "white", "gray",
     "lime", "bisque", "gold", "azure", "indigo", "navy", "aquamarine", "palegreen", "wheat",
     "olive",
 )
 CENTER_COLOR = "cyan"
+CENTER_TEXT = "Centroid of cluster %d with %d elements inside"
+CENTER_LABEL = "C"
+POST_TEXT = "Post by %s %s views: %s"
+OWNER_LABEL = "U"
 KMEANS_SEED = 42
 KMEANS_INIT = "k-means||"

@@ -16,7 +16,7 @@ def _typed(field: T.StructField, source: T.DataType) -> Column:
     if source == field.dataType:
         return column
     if isinstance(field.dataType, T.ArrayType):
-        return parse_tags(column).alias(field.name)
+        return parse_tags(field.name).alias(field.name)
     if isinstance(field.dataType, T.IntegralType):
         # Exports write whole numbers as 12.0 where a column has gaps.
         column = F.regexp_replace(column, r"\.0+$", "")
