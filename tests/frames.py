@@ -3,6 +3,7 @@
 import datetime as dt
 
 from wayposts.schema import POSTS_SCHEMA
+from wayposts.sources.tables import literal_frame
 
 
 def day(number: int) -> dt.datetime:
@@ -15,7 +16,7 @@ def posts(spark, *rows: dict):
         [row.get(name, number if name == "post_id" else None) for name in POSTS_SCHEMA.names]
         for number, row in enumerate(rows, start=1)
     ]
-    return spark.createDataFrame(values, POSTS_SCHEMA)
+    return literal_frame(spark, values, POSTS_SCHEMA)
 
 
 def tuples(df) -> list[tuple]:

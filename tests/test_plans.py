@@ -6,6 +6,7 @@ import pytest
 
 import wayposts as wp
 from checks import fixtures, queries
+from frames import tuples
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -103,6 +104,19 @@ def test_no_pair_of_tables_is_crossed_and_no_row_visits_python(spark, name):
     plan = _plan(queries.queries()[name](spark, SF_DIR))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "Arrow"):
         assert operator not in plan
+    # Rows that come from the program are part of the plan.
+    assert "ExistingRDD" not in plan
+
+
+def test_literal_rows_are_part_of_the_plan(spark):
+    frame = wp.literal_frame(
+        spark, [(1, 2.5, "a", ["x", None], None), (2, None, None, None, None)],
+        "i int, d double, s string, l array<string>, t timestamp_ntz",
+    )
+    assert "LocalTableScan" in _plan(frame)
+    assert tuples(frame) == [(1, 2.5, "a", ["x", None], None), (2, None, None, None, None)]
+    empty = wp.literal_frame(spark, [], "i int, s string")
+    assert empty.count() == 0 and empty.schema.simpleString() == "struct<i:int,s:string>"
 
 
 @pytest.mark.parametrize(
