@@ -5,7 +5,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayposts.llm import lines, mixing, quality
+from wayposts.llm import lines, mixing, quality, secrets, tokens, toxicity
+from wayposts.llm.text import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,33 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    held_out = crc_fold(F.col("doc_id"), 3) == 1
+    known = (
+        labels.where("toxic in (0, 1)")
+        .where(~held_out)
+        .groupBy("doc_id")
+        .agg(F.max("toxic").alias("toxic"))
+    )
+    model = toxicity.fit(docs, known)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+        "spans",
+    )
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
@@ -45,6 +73,9 @@ def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
         "op2_quality": op2_quality,
+        "op3_secrets": op3_secrets,
+        "op4_tokens": op4_tokens,
+        "op5_toxicity": op5_toxicity,
         "op8_lines": op8_lines,
     }
 
