@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wayposts.llm import lines, mixing, quality
+from wayposts.llm import lines, mixing, near, packing, quality
 from wayposts.sources.shared_folder import materialize
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,14 +22,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return lines.unrepeated_documents(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return near.one_of_each(docs)
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("source_mix", source_mix),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 # Packing needs a tokenizer, which SQL cannot express.

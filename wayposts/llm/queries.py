@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayposts.llm import lines, mixing, quality, secrets, tokens, toxicity
+from wayposts.llm import embeddings, lines, mixing, near, packing, quality, secrets, tokens, toxicity
 from wayposts.llm.text import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,17 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near.near_classes(table(spark, sf_dir, "documents"))
+    return classes.select(
+        "doc_id", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
+    )
+
+
+def op7_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.linked_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     gone = F.coalesce(F.col("gone"), F.array().cast("array<int>"))
@@ -69,6 +80,10 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
@@ -76,7 +91,10 @@ def queries() -> dict[str, Query]:
         "op3_secrets": op3_secrets,
         "op4_tokens": op4_tokens,
         "op5_toxicity": op5_toxicity,
+        "op6_near": op6_near,
+        "op7_embeddings": op7_embeddings,
         "op8_lines": op8_lines,
+        "op9_packing": op9_packing,
     }
 
 
