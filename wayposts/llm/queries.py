@@ -5,7 +5,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wayposts.llm import embeddings, lines, mixing, near, packing, quality, secrets, tokens, toxicity
+from wayposts.llm import (
+    embeddings,
+    lines,
+    mixing,
+    near,
+    packing,
+    quality,
+    scoring,
+    secrets,
+    tokens,
+    toxicity,
+)
 from wayposts.llm.text import crc_fold
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +95,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scoring.score(docs, crc_fold(F.col("doc_id"), 5) != 1)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
@@ -95,6 +111,7 @@ def queries() -> dict[str, Query]:
         "op7_embeddings": op7_embeddings,
         "op8_lines": op8_lines,
         "op9_packing": op9_packing,
+        "op10_scoring": op10_scoring,
     }
 
 
