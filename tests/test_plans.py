@@ -127,4 +127,5 @@ def test_literal_rows_are_part_of_the_plan(spark):
     ],
 )
 def test_plan_does_not_grow_with_the_number_of_owners(table, query):
-    assert len(_scans(query(table))) == 2
+    scans = _scans(query(table))
+    assert sum("latitude" in columns for columns in scans) == 1 and len(scans) <= 3

@@ -155,15 +155,29 @@ def test_hot_list(skewed, skewed_rows):
 def test_long_owner_lists_are_joined_without_broadcast(skewed, skewed_rows, no_broadcast):
     route = wp.owner_route(skewed, 4, 12)
     plan = route._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" not in plan and "_slice" in plan
+    # only the owners that hold more than a partition's share are broadcast
+    assert plan.count("BroadcastHashJoin") == 1 and "_slice" in plan
     assert tuples(route) == _expected_route(skewed_rows, 4, 12)
     assert _users(skewed, 6) == _expected_users(skewed_rows, 6)
 
 
-def test_large_limits_are_cut_in_slices_first(skewed, skewed_rows, no_group_limit):
+def test_a_long_list_is_copied_by_the_share_of_each_owner(spark, no_broadcast):
+    table = wp.union_posts(
+        posts(spark, *[dict(owner="hot") for _ in range(60)]),
+        posts(spark, *[dict(owner=f"o{i}") for i in range(20)]),
+    )
+    ranked = table.groupBy("owner").agg(F.count("owner").alias("num_post"))
+    joined = joining.join_ranked(table.select("post_id", "owner"), ranked, "owner", 10**7)
+    assert joined.columns == ["owner", "post_id", "num_post"]
+    assert joined.count() == 80
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(owner" in plan and "_slice" in plan
+
+
+def test_large_limits_are_numbered_across_partitions(skewed, skewed_rows, no_group_limit):
     route = wp.owner_route(skewed, 4, 12)
     plan = route._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" not in plan and "_slice" in plan
+    assert "WindowGroupLimit" not in plan
     assert tuples(route) == _expected_route(skewed_rows, 4, 12)
     markers = wp.route_markers(skewed, 4, 12).collect()
     assert [tuple(row)[:5] for row in markers] == _expected_route(skewed_rows, 4, 12)
@@ -172,7 +186,53 @@ def test_large_limits_are_cut_in_slices_first(skewed, skewed_rows, no_group_limi
     assert wp.clean_posts(copies, ["post_id"]).count() == 3000
 
 
-def test_slices_keep_whole_groups_when_the_limit_exceeds_them(skewed, no_group_limit):
+@pytest.mark.parametrize("n", [3, 200, 1500])
+def test_top_of_large_groups(skewed, n, no_group_limit):
+    order = [F.col("views").desc_nulls_last(), F.col("post_id")]
+    top = top_per_group(skewed, ["owner"], order, n, name="place")
+    found = {}
+    for row in top.select("owner", "place", "post_id").orderBy("owner", "place").collect():
+        found.setdefault(row.owner, []).append((row.place, row.post_id))
+    groups = {}
+    for row in skewed.collect():
+        groups.setdefault(row.owner, []).append((row.views is None, -(row.views or 0), row.post_id))
+    assert found == {
+        owner: [(place, key[2]) for place, key in enumerate(sorted(keys)[:n], 1)]
+        for owner, keys in groups.items()
+    }
+
+
+def test_a_large_group_is_spread_over_tasks(spark, no_group_limit):
+    rows = spark.range(80_000).select(
+        F.col("id"), F.when(F.col("id") % 4 == 0, F.col("id") % 97).otherwise(-1).alias("key")
+    )
+    top = top_per_group(rows, ["key"], [F.col("id").desc()], 50_000, name="place")
+    hot = top.where("key = -1")
+    assert hot.count() == 50_000 and hot.agg(F.max("place")).first()[0] == 50_000
+    parts = hot.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.count("*")).first()
+    assert parts[0] <= 25_000 and parts[1] >= 3
+
+
+def test_numbers_of_rows(spark):
+    rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"))
+    numbers = ranking.number_rows(rows, "n", F.col("x").desc())
+    assert numbers.where("n <> 5000 - x").count() == 0 and numbers.count() == 5000
+    assert ranking.nth_lowest(rows, "x", 1) == 0
+    assert ranking.nth_lowest(rows, "x", 4321) == 4320
+    assert ranking.nth_lowest(rows, "x", 5001) is None
+
+
+def test_lists_of_any_length(skewed):
+    assert tuples(wp.map_points(skewed, 2**31)) == tuples(wp.lat_lon(skewed))
+    assert wp.map_points(skewed, 2500).count() == 2500
+    assert [r.post_id for r in wp.preview_posts(skewed, 2500).collect()] == list(range(1, 2501))
+    assert tuples(wp.popular_owners(skewed, 2**40)) == tuples(wp.popular_owners(skewed, 100))
+    assert _users(skewed, 2**33) == _users(skewed, 100)
+    many = wp.top_tags(skewed, 2**35)
+    assert tuples(many) == tuples(wp.top_tags(skewed, 50))
+
+
+def test_limits_above_the_size_of_groups_keep_them_whole(skewed, no_group_limit):
     order = [F.col("views").desc_nulls_last(), F.col("post_id")]
     top = top_per_group(skewed, ["owner"], order, 1_000_000, name="place")
     assert top.count() == 3000

@@ -42,9 +42,10 @@ from wayposts.plans.owners import (
     owner_top_tag_list,
     popular_owners,
 )
-from wayposts.plans.routes import owner_route, route_markers
+from wayposts.plans.routes import owner_route, owner_view_counts, route_markers
 from wayposts.plans.tags import top_tags
 from wayposts.schema import POSTS_CSV_SCHEMA, POSTS_SCHEMA
 from wayposts.sources.cleaning import clean_posts, type_posts
 from wayposts.sources.csv_posts import read_csv_posts
+from wayposts.sources.shared_folder import release_tables
 from wayposts.sources.tables import literal_frame, publish, save_result

@@ -4,28 +4,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wayposts.operators.ranking import shuffle_partitions
+from wayposts.sources.shared_folder import materialize
 
 # A list of at most this many rows (an owner's name and a few numbers each) is broadcast.
 BROADCAST_ROWS = 10_000
-# A longer list is copied once per slice of the posts, up to this many copied rows.
-COPIED_ROWS = 10_000_000
 
 
 def join_ranked(posts: DataFrame, ranked: DataFrame, key: str, rows: int) -> DataFrame:
     """Inner join of the posts with ``ranked``: ``rows`` rows at most, ``key`` unique.
 
-    The posts are not shuffled when the list is short enough to broadcast. Otherwise both
-    sides are spread over ``key`` and a slice number, so that one key that holds a large
-    share of the posts goes to many tasks.
+    ``ranked`` has ``num_post``, the number of posts of each key. The posts are not shuffled
+    when the list is short enough to broadcast. Otherwise both sides are dealt out by ``key``,
+    and a key that holds more than a partition's share of the posts by a slice number too: as
+    many slices as the shares it holds, so all the copies together are at most one more row
+    per partition.
     """
     if rows <= BROADCAST_ROWS:
         return posts.join(F.broadcast(ranked), key, "inner")
-    slices = max(2, min(shuffle_partitions(posts.sparkSession), COPIED_ROWS // rows))
-    copies = ranked.withColumn("_slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    sliced = posts.withColumn(
-        "_slice", F.pmod(F.xxhash64("post_id"), F.lit(slices)).cast("int")
+    ranked = materialize(ranked, "ranked")
+    total = ranked.agg(F.sum("num_post")).first()[0] or 1
+    shares = F.ceil(F.col("num_post") * shuffle_partitions(posts.sparkSession) / total)
+    sliced = ranked.withColumn("_slices", F.greatest(shares, F.lit(1)))
+    # every one of these holds more than one share, so there are fewer than partitions
+    large = sliced.where("_slices > 1").select(key, "_slices")
+    place = F.pmod(F.xxhash64("post_id"), F.coalesce("_slices", F.lit(1)))
+    spread = posts.join(F.broadcast(large), key, "left").withColumn("_slice", place)
+    copies = sliced.withColumn(
+        "_slice", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_slices") - 1))
     )
-    return sliced.join(copies, [key, "_slice"], "inner").drop("_slice")
+    joined = spread.drop("_slices").join(copies.drop("_slices"), [key, "_slice"], "inner")
+    return joined.drop("_slice")
 
 
 def repair_column(posts: DataFrame, typed: DataFrame, column: str = "tags") -> DataFrame:

@@ -1,22 +1,66 @@
 """Top-k, numbering and top-k per group, without moving whole groups to one task."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-# A sorted result of at most this many rows is merged in one task; a longer one is range-sorted.
-REPORT_ROWS = 100_000
+from wayposts.sources.shared_folder import materialize
+
+# A sorted result of at most this many rows is merged or numbered in one task.
+REPORT_ROWS = 1_000
+
+_LONG = 2**63 - 1
+# Bits of a row's place within its partition, in the ids that Spark counts up.
+_PLACE_BITS = 33
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _range_sorted(df: DataFrame, *order: Column) -> DataFrame:
+    """``df`` written in ``order``: partition ``_part`` after partition, ``_at`` within it."""
+    parts = shuffle_partitions(df.sparkSession)
+    placed = F.monotonically_increasing_id()
+    ordered = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    numbered = ordered.withColumn("_at", placed)
+    written = materialize(numbered, "sorted")
+    return written.withColumn("_part", F.shiftright("_at", _PLACE_BITS))
+
+
+def number_rows(df: DataFrame, name: str, *order: Column) -> DataFrame:
+    """Number the rows of a table of any size from 1, in an ``order`` without ties.
+
+    The rows are sorted by range; a row's number is its place in its partition and the rows in
+    the partitions before. Writes the sorted rows to the shared folder.
+    """
+    ordered = _range_sorted(df, *order)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range partition, so safe to broadcast
+    starts = (
+        ordered.groupBy("_part")
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .select("_part", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+    number = F.col("_at") - F.col("_first") + F.col("_start") + 1
+    return ordered.join(F.broadcast(starts), "_part").select(
+        *df.columns, number.cast("long").alias(name)
+    )
+
+
 def top_rows(df: DataFrame, n: int, *order: Column) -> DataFrame:
-    """The first ``n`` rows in ``order``: every task keeps its own ``n`` before the merge."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows in ``order``.
+
+    For a report every task keeps its own ``n`` before the merge. More rows are sorted by
+    range and numbered, so that no task sees more than its part.
+    """
+    if n <= REPORT_ROWS:
+        return df.orderBy(*order).limit(n)
+    first = number_rows(df, "_place", *order).where(F.col("_place") <= min(n, _LONG))
+    return first.orderBy("_place").drop("_place")
 
 
 def sorted_report(df: DataFrame, rows: int, *order: Column) -> DataFrame:
@@ -26,14 +70,46 @@ def sorted_report(df: DataFrame, rows: int, *order: Column) -> DataFrame:
     return df.orderBy(*order)
 
 
-def numbered(report: DataFrame, name: str, *order: Column) -> DataFrame:
-    """Number the rows of a report from 1. Only for the few rows left by ``top_rows``."""
-    return report.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+def numbered(report: DataFrame, name: str, rows: int, *order: Column) -> DataFrame:
+    """Number the rows of a report of at most ``rows`` rows from 1."""
+    if rows <= REPORT_ROWS:
+        return report.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    return number_rows(report, name, *order)
+
+
+def nth_lowest(df: DataFrame, column: str, n: int) -> int | None:
+    """The ``n``-th lowest value of a column without nulls; None if there are fewer. Runs jobs.
+
+    The column alone is dealt out by range; the counts of the ranges tell in which one the
+    value lies, and only that one is sorted to the end.
+    """
+    values = df.select(column)
+    ranges = (
+        values.repartitionByRange(shuffle_partitions(df.sparkSession), column)
+        .groupBy(F.spark_partition_id())
+        .agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
+        .orderBy("low")
+        .collect()
+    )
+    for part in ranges:
+        if n <= part["n"]:
+            inside = values.where(F.col(column).between(part["low"], part["high"]))
+            return number_rows(inside, "_place", F.col(column)).where(F.col("_place") == n).first()[0]
+        n -= part["n"]
+    return None
+
+
+def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
 
 
 def _cut(df: DataFrame, keys: Sequence, order: Sequence[Column], n: int, name: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn(name, place).where(F.col(name) <= n)
+    return df.withColumn(name, place).where(F.col(name) <= min(n, 2**31 - 1))
+
+
+def _group_limit(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
 
 
 def top_per_group(
@@ -46,16 +122,58 @@ def top_per_group(
     """The first ``n`` rows of each group, with their place in column ``name`` if given.
 
     Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts every group to ``n``
-    rows before the shuffle, so a group of any size is safe. Above it Spark would send whole
-    groups to one task each; there the groups are first cut in slices, each the rows of some
-    of the input partitions. The first ``n`` rows of a group are among the first ``n`` of its
-    slices, so the result is the same.
+    rows before the shuffle, so a group of any size is safe. For more rows, groups that hold
+    more than a partition's share are sorted by range and numbered across the partitions; the
+    others are numbered in one task each.
     """
     spark = df.sparkSession
     place = name or "_place"
-    if n > int(spark.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
-        slices = shuffle_partitions(spark)
-        df = df.withColumn("_slice", F.spark_partition_id() % slices)
-        df = _cut(df, [*keys, "_slice"], order, n, place).drop(place, "_slice")
-    top = _cut(df, keys, order, n, place)
+    if n <= _group_limit(spark):
+        top = _cut(df, keys, order, n, place)
+    else:
+        top = _top_of_large_groups(materialize(df, "grouped"), keys, order, n, place)
     return top if name else top.drop(place)
+
+
+def _top_of_large_groups(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, place: str
+) -> DataFrame:
+    spark = rows.sparkSession
+    sizes = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias("_size")
+    )
+    share = max(rows.count() // shuffle_partitions(spark), 1)
+    # at most as many groups as there are partitions, so safe to broadcast
+    large = F.broadcast(materialize(sizes.where(F.col("_size") > share).drop("_size"), "large-groups"))
+    small = _cut(rows.join(large, _same(rows, large, keys), "left_anti"), keys, order, n, place)
+    ordered = _range_sorted(
+        rows.join(large, _same(rows, large, keys), "left_semi"), *[F.col(k) for k in keys], *order
+    )
+    before = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("__part")
+    # a large group touches more than one partition or fills one: at most twice their number
+    starts = (
+        ordered.groupBy(*[F.col(k).alias(f"_{k}") for k in keys], F.col("_part").alias("__part"))
+        .agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        .withColumn(
+            "_start",
+            F.coalesce(
+                F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+            ),
+        )
+    )
+    starts = F.broadcast(starts.drop("_n"))
+    here = _same(ordered, starts, keys) & (ordered["_part"] == starts["__part"])
+    number = F.col("_at") - F.col("_first") + F.col("_start") + 1
+    numbered_rows = ordered.join(starts, here).withColumn(place, number)
+    top = numbered_rows.where(F.col(place) <= min(n, _LONG)).select(*rows.columns, place)
+    return small.unionByName(top)
+
+
+def with_group_size(df: DataFrame, keys: Sequence[str], name: str, most: int) -> DataFrame:
+    """``df`` with the size of each row's group, where groups have at most ``most`` rows."""
+    if most <= _group_limit(df.sparkSession):
+        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
+    sizes = df.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+        F.count(F.lit(1)).alias(name)
+    )
+    return df.join(sizes, _same(df, sizes, keys)).drop(*[f"_{k}" for k in keys])

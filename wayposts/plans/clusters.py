@@ -7,12 +7,11 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from wayposts.arguments import whole_number
 from wayposts.functions import center_text, palette_color, prefixed
 from wayposts.operators.distinct import distinct_positions
-from wayposts.operators.ranking import top_per_group
+from wayposts.operators.ranking import top_per_group, with_group_size
 from wayposts.schema import (
     CENTER_COLOR,
     CENTER_LABEL,
@@ -44,14 +43,15 @@ def _with_features(positions: DataFrame) -> DataFrame:
     return assembler.transform(positions)
 
 
-def fit_clusters(posts: DataFrame, k: int = 5) -> Clusters:
+def fit_clusters(posts: DataFrame, k: int = 5, folder: str | None = None) -> Clusters:
     """Fit ``k`` clusters to the distinct positions. Runs Spark jobs.
 
-    The positions are written to the shared folder first: the fit passes over them some thirty
-    times, and pairs up passes that must see the same rows even after an executor is lost.
+    The positions are written to ``folder`` first, by default the shared folder: the fit passes
+    over them some thirty times, and pairs up passes that must see the same rows even after an
+    executor is lost. ``release_tables`` removes them when the clusters are no longer used.
     """
     k = whole_number("k", k, least=2)
-    positions = materialize(distinct_positions(posts), "positions")
+    positions = materialize(distinct_positions(posts), "positions", folder)
     if positions.limit(2).count() < 2:
         raise ValueError("k-means needs posts at two or more distinct positions")
     kmeans = KMeans(k=k, seed=KMEANS_SEED, initMode=KMEANS_INIT)
@@ -102,9 +102,9 @@ def cluster_metrics(clusters: Clusters) -> DataFrame:
     )
 
 
-def kmeans_positions(posts: DataFrame, k: int = 5) -> KMeansResult:
+def kmeans_positions(posts: DataFrame, k: int = 5, folder: str | None = None) -> KMeansResult:
     """The whole query: assignments, centres and metrics from one fit."""
-    clusters = fit_clusters(posts, k)
+    clusters = fit_clusters(posts, k, folder)
     return KMeansResult(
         assign_clusters(clusters), cluster_centers(clusters), cluster_metrics(clusters)
     )
@@ -147,10 +147,9 @@ def post_markers(assignments: DataFrame, n_posts: int = 10) -> DataFrame:
     From each cluster's list in ascending order come the first ``n_posts // 2``.
     """
     n_posts = whole_number("n_posts", n_posts)
-    shown = F.count(F.lit(1)).over(Window.partitionBy("prediction"))
+    viewed = _most_viewed(assignments, n_posts)
     return (
-        _most_viewed(assignments, n_posts)
-        .withColumn("shown", shown)
+        with_group_size(viewed, ["prediction"], "shown", n_posts)
         .where(F.col("shown") - F.col("place") < n_posts // 2)
         .select(
             *_ASSIGNED,

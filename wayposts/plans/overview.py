@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from wayposts.arguments import whole_number
 from wayposts.operators.aggregates import global_max
-from wayposts.operators.ranking import top_rows
+from wayposts.operators import ranking
+from wayposts.operators.ranking import nth_lowest, top_rows
 from wayposts.schema import POSITION
 
 
@@ -23,17 +24,27 @@ def preview_posts(posts: DataFrame, n: int = 20) -> DataFrame:
     all columns, which skips the row groups that start above it.
     """
     n = whole_number("n", n)
+    if n > ranking.REPORT_ROWS:
+        return _lowest(posts, n).orderBy("post_id")
     lowest = top_rows(posts.select("post_id"), n, F.col("post_id").asc())
     cut = global_max(lowest, "post_id").scalar()
     return top_rows(posts.where(F.col("post_id") <= cut), n, F.col("post_id").asc())
 
 
+def _lowest(posts: DataFrame, n: int) -> DataFrame:
+    """The ``n`` posts with the lowest ids; the highest of these filters the scan."""
+    last = nth_lowest(posts, "post_id", n)
+    return posts if last is None else posts.where(F.col("post_id") <= last)
+
+
 def lat_lon(posts: DataFrame) -> DataFrame:
     return posts.select(*POSITION)
 
 
 def map_points(posts: DataFrame, n: int) -> DataFrame:
-    """The positions of the ``n`` posts with the lowest ids."""
+    """The positions of the ``n`` posts with the lowest ids; in their order for a short list."""
     n = whole_number("n", n)
+    if n > ranking.REPORT_ROWS:
+        return _lowest(posts, n).select(*POSITION)
     columns = posts.select("post_id", *POSITION)
     return top_rows(columns, n, F.col("post_id").asc()).select(*POSITION)

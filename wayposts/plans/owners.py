@@ -1,6 +1,6 @@
 """Owners: the most popular, the most recently active, and the tag list each uses most."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayposts.arguments import whole_number
@@ -19,9 +19,11 @@ def owner_posts(posts: DataFrame, owner: str | None) -> DataFrame:
 def popular_owners(posts: DataFrame, n: int = 3) -> DataFrame:
     """The ``n`` owners with the most views in total: ``owner, views``."""
     n = whole_number("n", n)
-    return top_rows(
-        owner_popularity(posts), n, F.col("views").desc_nulls_last(), F.col("owner").asc()
-    )
+    return top_rows(owner_popularity(posts), n, *most_viewed_first())
+
+
+def most_viewed_first() -> list[Column]:
+    return [F.col("views").desc_nulls_last(), F.col("owner").asc()]
 
 
 def active_users_ranked(posts: DataFrame, n: int = 20) -> DataFrame:
@@ -31,7 +33,7 @@ def active_users_ranked(posts: DataFrame, n: int = 20) -> DataFrame:
     """
     n = whole_number("n", n)
     order = [F.col("lastPost").desc_nulls_last(), F.col("owner").asc()]
-    return numbered(top_rows(owner_stats(posts), n, *order), "id", *order)
+    return numbered(top_rows(owner_stats(posts), n, *order), "id", n, *order)
 
 
 def _tag_list_uses(posts: DataFrame, n: int) -> DataFrame:

@@ -6,6 +6,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+# Paths of the tables that each application has written.
+_written: dict[str, list[str]] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -26,13 +28,25 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+def fresh_path(spark: SparkSession, name: str, folder: str | None = None) -> str:
+    """A path in the shared folder, or in the one given, that nothing uses yet."""
+    return f"{(folder or shared_folder(spark)).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back from there."""
-    path = fresh_path(df.sparkSession, name)
+def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder, or to the one given, and read back."""
+    path = fresh_path(df.sparkSession, name, folder)
+    _written.setdefault(df.sparkSession.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def release_tables(spark: SparkSession) -> None:
+    """Delete the tables that this application wrote with ``materialize``.
+
+    Call it when no result that was made from them is used any more.
+    """
+    context = spark.sparkContext
+    for path in _written.pop(context.applicationId, []):
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
