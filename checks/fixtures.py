@@ -44,6 +44,28 @@ def posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def gapped_posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same posts with null and NaN positions, many owners whose last posts are of one
+    moment, and an owner without any view count."""
+    quiet = F.col("post_id") % 10 == 3
+    latitude = F.when(F.col("post_id") % 83 == 0, F.lit(float("nan"))).otherwise(F.col("latitude"))
+    return posts_from_events(spark, sf_dir).withColumns(
+        {
+            "owner": F.when(quiet, "quiet").otherwise(F.col("owner")),
+            "views": F.when(~quiet, F.col("views")),
+            "latitude": F.when(F.col("post_id") % 89 != 0, latitude),
+            "datePosted": F.date_trunc("day", "datePosted").cast("timestamp_ntz"),
+        }
+    )
+
+
+def posts_in_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The posts in three clusters, each of a third of them."""
+    return posts_from_events(spark, sf_dir).withColumn(
+        "prediction", (F.col("post_id") % 3).cast("int")
+    )
+
+
 def posts_from_embeddings(spark: SparkSession, sf_dir: str, gap: int = 0) -> DataFrame:
     """Positions with later copies of every fifth; ``gap`` degrees between pairs of labels."""
     embeddings = _table(spark, sf_dir, "embeddings")
@@ -72,26 +94,32 @@ def posts_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same posts as text, with values that do not parse, outdated rows and copies.
 
+    Some lists end with a missing element, some moments have a zone, some numbers an exponent.
     Every 50th post has an older version, every 75th an exact copy.
     """
     posts = posts_from_events(spark, sf_dir)
     text = {field.name: F.col(field.name).cast("string") for field in POSTS_SCHEMA}
     text["tags"] = F.expr(
         """case when tags is null then 'missing'
+                when post_id % 20 = 7 and size(tags) = 0 then '[None,]'
                 else concat('[', array_join(transform(tags, t -> concat('''', t, '''')), ', '),
-                            ']') end"""
+                            if(post_id % 20 = 7, ', None]', ']')) end"""
     )
     text["views"] = F.expr(
         """case when views is null then 'n/a'
                 when version = 1 then cast(views + 1 as string)
                 when post_id % 3 = 0 then concat(cast(views as string), '.0')
+                when post_id % 13 = 5 then concat(cast(views as string), 'e0')
                 else cast(views as string) end"""
     )
     text["latitude"] = F.expr(
         "if(post_id % 103 = 0, 'unknown', cast(latitude as string))"
     )
     text["datePosted"] = F.expr(
-        "if(post_id % 107 = 0, 'not a date', cast(datePosted as string))"
+        """case when post_id % 107 = 0 then 'not a date'
+                when post_id % 11 = 3 then concat(replace(
+                  cast(timestampadd(HOUR, 8, datePosted) as string), ' ', 'T'), '+08:00')
+                else cast(datePosted as string) end"""
     )
     text["lastUpdate"] = F.expr(
         "cast(if(version = 1, timestampadd(HOUR, -1, lastUpdate), lastUpdate) as string)"
@@ -105,7 +133,12 @@ def raw_posts_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def write_csv(raw: DataFrame) -> str:
-    """Write text posts to a fresh folder of the shared folder; its path."""
+    """Write text posts to a fresh folder of the shared folder; its path.
+
+    The columns come in another order than that of the schema, with one more among them.
+    """
+    names = sorted(raw.columns, reverse=True)
+    raw = raw.select(*names[:5], F.lit("x").alias("license"), *names[5:])
     path = fresh_path(raw.sparkSession, "posts-csv")
     raw.write.csv(path, header=True, escape='"')
     return path

@@ -1,6 +1,12 @@
 """For each query, SQL over the test tables that gives the same result."""
 
-from wayposts.schema import CENTER_COLOR, PALETTE
+# The colours given in turn to owners and clusters, and that of the centres.
+PALETTE = (
+    "red", "orange", "yellow", "green", "blue", "purple", "brown", "pink", "white", "gray",
+    "lime", "bisque", "gold", "azure", "indigo", "navy", "aquamarine", "palegreen", "wheat",
+    "olive",
+)
+CENTER_COLOR = "cyan"
 
 _POSTS = """
 posts_k as (
@@ -33,6 +39,20 @@ posts as (
   from posts_k
 )"""
 
+_GAPPED = (
+    _POSTS.replace("\nposts as (", "\nplain as (")
+    + """,
+posts as (
+  select * replace (
+    case when post_id % 10 = 3 then 'quiet' else owner end as owner,
+    case when post_id % 10 <> 3 then views end as views,
+    case when post_id % 89 = 0 then null
+         when post_id % 83 = 0 then cast('NaN' as double) else latitude end as latitude,
+    cast(date_trunc('day', "datePosted") as timestamp) as "datePosted")
+  from plain
+)"""
+)
+
 _DOCUMENTS = """
 posts as (
   select doc_id as post_id, source as owner, n_chars as views,
@@ -58,9 +78,9 @@ owners as (
   from posts group by owner
 ),
 ranked as (
-  select *, row_number() over (order by "lastPost" desc nulls last, owner) as id from owners
+  select *, row_number() over (order by "lastPost" desc nulls last, owner nulls first) as id from owners
 ),
-top_owners as (select * from ranked where id <= 20),
+top_owners as (select * from ranked where id <= {n}),
 uses as (
   select owner, tags, count(tags) as tag_uses
   from top_owners join posts using (owner) group by owner, tags
@@ -77,10 +97,12 @@ active as (
   from top_owners join best using (owner)
 )"""
 
+_OWNERS, _MANY_OWNERS = _OWNERS.format(n=20), _OWNERS.format(n=20_000)
+
 _POPULAR = """
 popular as (
   select owner, cast(sum(views) as bigint) as views from posts group by owner
-  order by views desc nulls last, owner limit {n_users}
+  order by views desc nulls last, owner nulls first limit {n_users}
 ),
 indexed as (
   select owner, row_number() over (order by views desc nulls last, owner) - 1 as owner_index
@@ -228,8 +250,12 @@ def _documents(select: str, *parts: str) -> str:
     return _with(_DOCUMENTS, *parts) + select
 
 
-def _route(n_users: int, n_posts: int, select: str) -> str:
-    return _with(_POSTS, _STOPS.format(n_users=n_users, n_posts=n_posts)) + select
+def _gapped(select: str, *parts: str) -> str:
+    return _with(_GAPPED, *parts) + select
+
+
+def _route(n_users: int, n_posts: int, select: str, posts: str = _POSTS) -> str:
+    return _with(posts, _STOPS.format(n_users=n_users, n_posts=n_posts)) + select
 
 
 _ROUTE_COLUMNS = f'owner, views, {_POSITION}, {_moments("dateTaken")}'
@@ -241,6 +267,22 @@ select {_ROUTE_COLUMNS}, seq, {_color("owner_index")} as color,
     || ' views: ' || coalesce(cast(views as varchar), 'null') as info
 from markers"""
 
+_ROUTE = f"select {_ROUTE_COLUMNS} from stops order by owner_index, place"
+_STATS = f"""select owner, num_post, round(mean_views, 6) as mean_views,
+  {_moments("lastPost")} from owners"""
+_ACTIVE = f"""select owner, num_post, round(mean_views, 6) as mean_views,
+  {_moments("lastPost")}, id, {_list()} as tags, tag_uses
+from active order by id"""
+_PLACED = f"""select post_id, {_POSITION}, views from (
+  select *, row_number() over (partition by latitude, longitude
+    order by "dateTaken" desc nulls last, post_id) as copy from posts)
+where copy = 1"""
+_CLUSTERED = """
+assigned as (
+  select post_id, latitude, longitude, views, cast(post_id % 3 as bigint) as prediction
+  from posts
+)"""
+
 _TAG_REPORT = 'select tag, "count", round(mean_views, 6) as mean_views from stats'
 _WEIGHTED_STATS = (
     'select tag, count(*) as "count", round(avg(views), 6) as mean_views from tagged group by tag'
@@ -270,15 +312,19 @@ from raw"""
 
 _RAW_TEXT = """
 select cast(post_id as varchar) as post_id, owner,
-  case when post_id % 107 = 0 then 'not a date' else cast("datePosted" as varchar) end
-    as "datePosted",
+  case when post_id % 107 = 0 then 'not a date'
+       when post_id % 11 = 3
+         then replace(cast("datePosted" + to_hours(8) as varchar), ' ', 'T') || '+08:00'
+       else cast("datePosted" as varchar) end as "datePosted",
   case when views is null then 'n/a'
        when version = 1 then cast(views + 1 as varchar)
        when post_id % 3 = 0 then views || '.0'
+       when post_id % 13 = 5 then views || 'e0'
        else cast(views as varchar) end as views,
   case when tags is null then 'missing'
+       when post_id % 20 = 7 and len(tags) = 0 then '[None,]'
        else '[' || array_to_string(list_transform(tags, lambda t: '''' || t || ''''), ', ')
-         || ']' end as tags,
+         || case when post_id % 20 = 7 then ', None]' else ']' end end as tags,
   case when post_id % 103 = 0 then 'unknown' else cast(latitude as varchar) end as latitude,
   cast(case when version = 1 then "lastUpdate" - to_hours(1) else "lastUpdate" end as varchar)
     as "lastUpdate",
@@ -291,6 +337,12 @@ def oracle_sql() -> dict[str, str]:
         # The dataset and its positions
         "lat_lon": _posts(f"select {_POSITION} from posts"),
         "map_points": _posts(f"select {_POSITION} from posts order by post_id limit 100"),
+        "map_points_many": _posts(
+            f"select {_POSITION} from posts order by post_id limit 5000"
+        ),
+        "preview_posts_many": _posts(
+            "select post_id, owner from posts order by post_id limit 2500"
+        ),
         "dataset_shape": _posts(
             "select count(*) as rows, cast(19 as bigint) as columns from posts"
         ),
@@ -312,12 +364,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "second_highest": """select round(max(o_totalprice), 6) as o_totalprice from orders
             where o_totalprice < (select max(o_totalprice) from orders)""",
-        "distinct_positions": _posts(
-            f"""select post_id, {_POSITION}, views from (
-                  select *, row_number() over (partition by latitude, longitude
-                    order by "dateTaken" desc nulls last, post_id) as copy from posts)
-                where copy = 1"""
-        ),
+        "distinct_positions": _posts(_PLACED),
         "union_posts": _posts(
             f"""select post_id, owner, views, {_list()} as tags from posts
                 union all
@@ -354,11 +401,7 @@ def oracle_sql() -> dict[str, str]:
         "word_stats": _documents(_TAG_REPORT, _TAGS),
         "word_stats_weighted": _documents(_WEIGHTED_STATS, _WEIGHTED),
         # Owners and their routes
-        "owner_stats": _posts(
-            f"""select owner, num_post, round(mean_views, 6) as mean_views,
-                  {_moments("lastPost")} from owners""",
-            _OWNERS,
-        ),
+        "owner_stats": _posts(_STATS, _OWNERS),
         "owner_popularity": _posts(
             "select owner, cast(sum(views) as bigint) as views from posts group by owner"
         ),
@@ -374,12 +417,7 @@ def oracle_sql() -> dict[str, str]:
         "owner_top_tag_list": _posts(
             f"select owner, {_list()} as tags, tag_uses from best", _OWNERS
         ),
-        "active_users": _posts(
-            f"""select owner, num_post, round(mean_views, 6) as mean_views,
-                  {_moments("lastPost")}, id, {_list()} as tags, tag_uses
-                from active order by id""",
-            _OWNERS,
-        ),
+        "active_users": _posts(_ACTIVE, _OWNERS),
         "owner_chart_data": _posts(
             """select 'num_post' as chart, 'U' || id as label, cast(num_post as double) as value
                from active
@@ -390,18 +428,56 @@ def oracle_sql() -> dict[str, str]:
         "owner_distinct_positions": _posts(
             f"select post_id, owner, views, {_POSITION} from places", _PLACES
         ),
-        "owner_route": _route(
-            3, 10, f"select {_ROUTE_COLUMNS} from stops order by owner_index, place"
-        ),
+        "owner_route": _route(3, 10, _ROUTE),
         "route_markers": _route(3, 10, _MARKERS),
         "route_markers_many": _route(25, 40, _MARKERS),
+        "route_view_counts": _route(
+            25, 40, "select owner, count(views) as n_views from stops group by owner"
+        ),
+        "active_users_long": _posts(_ACTIVE, _MANY_OWNERS),
+        "owner_route_long": _route(3, 2_000, _ROUTE),
+        "owner_route_wide": _route(20_000, 5, _ROUTE),
+        "route_markers_long": _route(3, 2_000, _MARKERS),
+        "gapped_distinct_positions": _gapped(
+            _PLACED + " and latitude is not null and not isnan(latitude)"
+        ),
+        "gapped_owner_stats": _gapped(_STATS, _OWNERS),
+        "gapped_popular_owners": _gapped(
+            "select * from popular", _POPULAR.format(n_users=20_000)
+        ),
+        "gapped_active_users": _gapped(_ACTIVE, _OWNERS),
+        "gapped_owner_route": _route(
+            200,
+            10,
+            f"""select owner, views, round(longitude, 6) as longitude, {_moments("dateTaken")}
+                from stops order by owner_index, place""",
+            _GAPPED,
+        ),
+        "gapped_top_tags": _gapped(_TAG_REPORT + _BY_COUNT.format(n=20), _TAGS),
+        "heat_points_long": _posts(
+            _POINTS + " heat", _CLUSTERED, _HEAT.format(n_posts=1500)
+        ),
+        "post_markers_long": _posts(
+            _POST_MARKERS.format(half=750), _CLUSTERED, _HEAT.format(n_posts=1500)
+        ),
         # Sources
         "src_csv_posts": _posts(_RAW_TEXT, _RAW),
         "load_posts": _posts(f"select {_ALL_COLUMNS} from posts where {_COMPLETE}"),
         "clean_posts": _posts(f"select {_ALL_COLUMNS} from posts where {_COMPLETE}"),
         "type_posts": _posts(_TYPED_RAW, _RAW),
         "parse_tags": _posts(
-            f"select cast(post_id as varchar) as post_id, {_list()} as tags from raw", _RAW
+            f"""select cast(post_id as varchar) as post_id, {_list()} as tags,
+                  len(tags) + case when post_id % 20 = 7 then 1 else 0 end as n_tags from raw""",
+            _RAW,
+        ),
+        "clean_posts_without_ids": _posts(
+            f"""select row_number() over (order by "datePosted", "dateTaken", updated) as post_id,
+                  title, views, cast(updated as varchar) as "lastUpdate"
+                from (
+                  select "datePosted", "dateTaken", title, views + version as views,
+                    "lastUpdate" - to_hours(cast(version as int)) as updated
+                  from raw where version < 2 and {_COMPLETE})""",
+            _RAW,
         ),
         "repair_tags": _posts(f"select post_id, owner, {_list()} as tags from posts"),
         # Clusters

@@ -70,6 +70,8 @@ _on(
         "post_id", "owner", "views"
     ),
     global_max=lambda posts: wp.global_max(posts, "views"),
+    map_points_many=lambda posts: wp.map_points(posts, 5000),
+    preview_posts_many=lambda posts: wp.preview_posts(posts, 2500).select("post_id", "owner"),
     second_highest_views=lambda posts: wp.second_highest(posts, "views"),
     distinct_positions=wp.distinct_positions,
 )
@@ -141,6 +143,28 @@ _on(
     owner_route=wp.owner_route,
     route_markers=wp.route_markers,
     route_markers_many=lambda posts: wp.route_markers(posts, 25, 40),
+    route_view_counts=lambda posts: wp.owner_view_counts(wp.owner_route(posts, 25, 40)),
+    # Beyond the sizes up to which a report is cut, merged or sent to all tasks as a whole
+    active_users_long=lambda posts: wp.active_users(posts, 20_000),
+    owner_route_long=lambda posts: wp.owner_route(posts, 3, 2_000),
+    owner_route_wide=lambda posts: wp.owner_route(posts, 20_000, 5),
+    route_markers_long=lambda posts: wp.route_markers(posts, 3, 2_000),
+)
+_on(
+    fixtures.gapped_posts_from_events,
+    gapped_distinct_positions=wp.distinct_positions,
+    gapped_owner_stats=wp.owner_stats,
+    gapped_popular_owners=lambda posts: wp.popular_owners(posts, 20_000),
+    gapped_active_users=wp.active_users,
+    gapped_owner_route=lambda posts: wp.owner_route(posts, 200, 10).select(
+        "owner", "views", "longitude", "dateTaken"
+    ),
+    gapped_top_tags=wp.top_tags,
+)
+_on(
+    fixtures.posts_in_clusters,
+    heat_points_long=lambda posts: wp.heat_points(posts, 1500),
+    post_markers_long=lambda posts: wp.post_markers(posts, 1500),
 )
 
 
@@ -174,7 +198,12 @@ _on(
     fixtures.raw_posts_from_events,
     clean_posts=wp.clean_posts,
     type_posts=wp.type_posts,
-    parse_tags=lambda raw: raw.select("post_id", parse_tags("tags").alias("tags")),
+    clean_posts_without_ids=lambda raw: wp.clean_posts(raw.drop("post_id")).select(
+        "post_id", "title", "views", "lastUpdate"
+    ),
+    parse_tags=lambda raw: raw.select("post_id", parse_tags("tags").alias("tags")).withColumn(
+        "n_tags", F.size("tags")
+    ),
 )
 _on(_repaired, repair_tags=lambda posts: posts.select("post_id", "owner", "tags"))
 

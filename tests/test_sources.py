@@ -1,7 +1,9 @@
 import datetime as dt
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import wayposts as wp
 from frames import by_key, day, posts, tuples
@@ -19,6 +21,15 @@ from wayposts.sources.shared_folder import fresh_path, materialize, shared_folde
         (None, None),
         ("oops", None),
         ("['a'", None),
+        ("['a', None]", ["a", None]),
+        ("['a', nan]", ["a", None]),
+        ("['a',]", ["a"]),
+        ("['a, None', None ,'nan',]", ["a, None", None, "nan"]),
+        ("[None]", [None]),
+        ("['a', 'b'] junk", None),
+        ("['a'], ['b']", None),
+        ("['a' 'b']", None),
+        (str([f"t{i}" for i in range(5000)] + [None]), [f"t{i}" for i in range(5000)] + [None]),
         (r"""['it\'s "so"', 'b']""", ["it's \"so\"", "b"]),
         (r"['\xe9té']", ["été"]),
         (r"['a\\xe9']", [r"a\xe9"]),
@@ -121,18 +132,28 @@ def test_csv_with_quotes_line_breaks_and_commas(spark):
     assert sorted(tuples(back)) == sorted(tuples(raw))
 
 
-def test_csv_columns_must_match(spark):
+def test_csv_columns_are_found_by_name(spark):
     path = fresh_path(spark, "csv")
-    _raw(spark, {}).select(*reversed(POSTS_CSV_SCHEMA.names)).write.csv(path, header=True)
-    with pytest.raises(Exception, match="header"):
-        wp.read_csv_posts(spark, path).collect()
+    raw = _raw(spark, dict(title="a,b"), {})
+    mixed = raw.select("owner", *reversed([c for c in raw.columns if c != "owner"]))
+    mixed.withColumn("license", F.lit("x")).write.csv(path, header=True, escape='"')
+    assert sorted(tuples(wp.read_csv_posts(spark, path))) == sorted(tuples(raw))
 
 
-def test_csv_without_ids_and_line_breaks(spark):
+@pytest.mark.parametrize("lacking", [["post_id"], ["lastUpdate"], ["post_id", "lastUpdate"]])
+def test_csv_without_ids_or_update_times(spark, lacking):
     path = fresh_path(spark, "csv")
-    _raw(spark, dict(title="a"), dict(title="b")).drop("post_id").write.csv(path, header=True)
-    loaded = wp.load_posts(spark, path, has_post_id=False, multiline=False)
-    assert loaded.count() == 2
+    _raw(spark, dict(title="a"), dict(title="b")).drop(*lacking).write.csv(path, header=True)
+    loaded = wp.load_posts(spark, path, multiline=False)
+    assert loaded.schema.simpleString() == POSTS_SCHEMA.simpleString()
+    assert by_key(loaded.select("title", "post_id")) == {"a": (1,), "b": (2,)}
+
+
+def test_csv_without_a_column_that_is_needed(spark):
+    path = fresh_path(spark, "csv")
+    _raw(spark, {}).drop("views", "owner").write.csv(path, header=True)
+    with pytest.raises(ValueError, match="owner, views"):
+        wp.read_csv_posts(spark, path)
 
 
 def test_repair_keeps_all_posts(spark):
@@ -217,5 +238,52 @@ def test_load_with_many_copies_of_one_post(spark):
 
 
 def test_typed_tags_need_ids(spark):
+    path = fresh_path(spark, "csv")
+    _raw(spark, {}).drop("post_id").write.csv(path, header=True)
     with pytest.raises(ValueError, match="post_id"):
-        wp.load_posts(spark, "/nowhere", spark.range(1), has_post_id=False)
+        wp.load_posts(spark, path, spark.range(1))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_moments_with_a_zone_are_taken_to_utc(spark, zone):
+    texts = {
+        "2024-01-01T12:00:00+08:00": dt.datetime(2024, 1, 1, 4),
+        "2024-01-01T06:00:00Z": dt.datetime(2024, 1, 1, 6),
+        "2024-07-01 10:00:00 UTC": dt.datetime(2024, 7, 1, 10),
+        "2024-01-01 12:00:00.5-0300": None,
+        "2024-01-01 10:00:00.25": dt.datetime(2024, 1, 1, 10, 0, 0, 250000),
+        "2024-01-01": dt.datetime(2024, 1, 1),
+        "soon": None,
+    }
+    raw = _raw(spark, *[dict(datePosted=text) for text in texts])
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = [r.datePosted for r in wp.type_posts(raw).orderBy("post_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert [f for f, t in zip(found, texts) if "-0300" not in t] == [
+        v for t, v in texts.items() if "-0300" not in t
+    ]
+
+
+@pytest.mark.parametrize(
+    "text, number",
+    [("1e3", 1000), ("12.0", 12), ("1.5", None), ("1e400", None), ("9223372036854775807", 2**63 - 1),
+     ("-2.50e1", -25), ("", None)],
+)
+def test_whole_numbers_in_any_spelling(spark, text, number):
+    assert wp.type_posts(_raw(spark, dict(views=text))).first().views == number
+
+
+def test_tables_are_released(spark):
+    from wayposts.sources import shared_folder as folders
+
+    kept, folders._written = folders._written, {}
+    try:
+        written = materialize(posts(spark, dict(tags=["x"])), "posts")
+        place = written.inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(place)
+        wp.release_tables(spark)
+        assert not os.path.exists(place) and not folders._written
+    finally:
+        folders._written = kept

@@ -5,6 +5,19 @@ from pyspark.sql import functions as F
 _ESCAPE = r"(?<!\\)((?:\\\\)*)\\"
 
 
+# Parts of a list as Python writes it: a quoted text, and anything bare.
+_QUOTED = r"""(?:'(?:[^'\\]|\\.)*+'|"(?:[^"\\]|\\.)*+")"""
+_BARE = r"""[^\s'",\[\]]++"""
+_LIST = rf"(?s)\s*+\[\s*+(?:(?:{_QUOTED}|{_BARE})\s*+(?:,\s*+|(?=\])))*+\]\s*+"
+# A bare word for a missing element, after any number of quoted texts and other characters.
+_MISSING = rf"""(?s)\G((?:{_QUOTED}|(?!\b(?:None|nan)\b)[^'"])*+)\b(?:None|nan)\b"""
+
+
+def _missing_as_json(text: Column) -> Column:
+    """Bare ``None`` and ``nan`` as ``null``, which is how JSON spells them."""
+    return F.regexp_replace(text, _MISSING, "$1null")
+
+
 def _byte_escapes_as_json(text: Column) -> Column:
     r"""``\xe9`` as ``é``, which is how JSON spells it."""
     return F.regexp_replace(text, _ESCAPE + r"x([0-9a-fA-F]{2})", r"$1\\u00$2")
@@ -25,8 +38,14 @@ def _long_escapes_read(text: Column) -> Column:
 
 
 def parse_tags(text) -> Column:
-    """A list written as text, ``['a', "it's"]``, as ``array<string>``; bad text gives null."""
+    """A list written as text, ``['a', "it's"]``, as ``array<string>``; bad text gives null.
+
+    Bare ``None`` and ``nan`` are null elements, and a comma may follow the last element.
+    """
     text = F.col(text)
+    text = F.when(text.rlike(f"^{_LIST}$"), text)
+    text = F.when(text.rlike("None|nan"), _missing_as_json(text)).otherwise(text)
+    text = F.when(text.rlike(r",\s*\]\s*$"), F.regexp_replace(text, r",\s*\]\s*$", "]")).otherwise(text)
     text = F.when(text.contains("\\U"), _long_escapes_read(text)).otherwise(text)
     text = F.when(text.contains("\\x"), _byte_escapes_as_json(text)).otherwise(text)
     return F.from_json(

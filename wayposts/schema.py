@@ -23,7 +23,7 @@ POST_COLUMNS = (
     ("accuracy", T.IntegerType()),
 )
 
-# post_id is a unique key: every report that cuts a sorted list uses it (or a
+# post_id is a unique key (given, or numbered in cleaning): every report that cuts a sorted list uses it (or a
 # group key) as the last sort column, so that equal inputs give equal results.
 POSTS_SCHEMA = T.StructType(
     [T.StructField("post_id", T.LongType(), False)]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayposts.functions import parse_tags
-from wayposts.operators.ranking import top_per_group
+from wayposts.operators.ranking import number_rows, top_per_group
 from wayposts.schema import POSTS_SCHEMA, REQUIRED_COLUMNS
 
 
@@ -18,11 +18,27 @@ def _typed(field: T.StructField, source: T.DataType) -> Column:
     if isinstance(field.dataType, T.ArrayType):
         return parse_tags(field.name).alias(field.name)
     if isinstance(field.dataType, T.IntegralType):
-        # Exports write whole numbers as 12.0 where a column has gaps.
-        column = F.regexp_replace(column, r"\.0+$", "")
+        return _whole_number(column, field.dataType).alias(field.name)
+    if isinstance(field.dataType, T.TimestampNTZType):
+        return _moment(column).alias(field.name)
     return column.try_cast(field.dataType).alias(field.name)
 
 
+def _whole_number(text: Column, kind: T.DataType) -> Column:
+    """A whole number, however it is written: exports have 12.0 where a column has gaps."""
+    plain = F.regexp_replace(text, r"\.0+$", "").try_cast(kind)
+    value = text.try_cast("decimal(38,6)")
+    return F.coalesce(plain, F.when(value == F.floor(value), value.try_cast(kind)))
+
+
+def _moment(text: Column) -> Column:
+    """A moment without zone; text that names its zone is taken to UTC."""
+    zoned = text.rlike(r"\d[ ]?([zZ]|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2})\s*$") & text.rlike(r"\d:\d")
+    micros = F.unix_micros(text.try_cast("timestamp"))
+    in_utc = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
+    return F.when(zoned, in_utc).otherwise(text.try_cast("timestamp_ntz"))
+
+
 def type_posts(raw: DataFrame) -> DataFrame:
     """Text columns cast to the types of the posts; text that does not fit becomes null."""
     given = {field.name: field.dataType for field in raw.schema}
@@ -33,13 +49,16 @@ def clean_posts(raw: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> D
     """Typed posts without gaps in the ``required`` columns and without duplicates.
 
     Of several rows with one ``post_id`` the last updated stays, then the first by content.
-    Posts that come without ids lose their exact copies and get an id made from their content;
-    it serves to order posts, as two different ones may, very rarely, share it.
+    Posts that come without ids lose their exact copies and are numbered from 1 in the order
+    of their content, whatever the order in which they come.
     """
     typed = type_posts(raw)
     complete = typed.dropna(subset=[c for c in required if c in typed.columns])
     if "post_id" not in typed.columns:
-        return complete.distinct().select(F.xxhash64(*typed.columns).alias("post_id"), "*")
+        once = complete.distinct()
+        return number_rows(once, "post_id", *map(F.col, typed.columns)).select(
+            "post_id", *typed.columns
+        )
     content = [F.col(c).asc() for c in typed.columns if c != "post_id"]
-    order = [F.col("lastUpdate").desc_nulls_last(), *content]
-    return top_per_group(complete, ["post_id"], order, 1)
+    order = [F.col("lastUpdate").desc_nulls_last()] if "lastUpdate" in typed.columns else []
+    return top_per_group(complete, ["post_id"], [*order, *content], 1)
