@@ -225,21 +225,18 @@ def fit_rules(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS
     )
     # at most sample_rows pairs of a long and an int, so safe to broadcast
     labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    stats = with_statistics(labelled).select(
-        order.alias("o"), "doc_id", "quality", *[f"stats.{f}" for f in FEATURES]
-    )
-    rows = stats.where(~base_failed_columns()).orderBy("o", "doc_id", *FEATURES).limit(sample_rows).collect()
+    # not filtered here, as Spark would then compute the statistics of all documents first
+    stats = with_statistics(labelled).select(order.alias("o"), "quality", "stats.*")
+    rows = stats.orderBy("o", *FEATURES).limit(sample_rows).collect()
+    rows = [
+        r for r in rows if r["n_words"] >= 10 and 100 * r["n_repeat_words"] <= 20 * r["n_words"]
+    ]
     if not rows:
         return []
     x = np.array([[float(r[f]) for f in FEATURES] for r in rows])
     return learn_rules(x, np.array([r["quality"] == 0 for r in rows]))
 
 
-def base_failed_columns() -> Column:
-    """The base rules on the features: few words, or a fifth of them in repeated windows."""
-    return (F.col("n_words") < 10) | (100 * F.col("repeat_share") > 20)
-
-
 def verdict(rules: list[Rule], stats: Column) -> Column:
     """The number of the first rule that rejects, 0 for the base rules, null if none does."""
     first = F.when(base_failed(stats), 0)
