@@ -113,7 +113,7 @@ def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc`` and ``gone``, the numbers from 0 of the lines to delete, for documents with any."""
-    lines = line_table(docs, min_words)
+    lines = materialize(line_table(docs, min_words), "lines-all")
     named = materialize(_named(lines, ["h1", "h2"], "line").drop("h1", "h2"), "lines-1")
     level = named.select("doc", "i", "n")
     covered = []
