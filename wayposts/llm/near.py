@@ -3,10 +3,13 @@
 Each sketch of a text takes the two smallest of its five-word shingles under one hash, each
 shingle labelled with how often it occurred before, in the order in which they stand. Texts that
 share all sketches of a band are candidates. Within a bucket every text is compared with one
-leader, picked anew by hash in each band; texts that turn out unlike their leader elect another
-among themselves, until none is left. A pair is linked if the multisets of shingles have a
-Jaccard similarity of 0.8 or more and the words an edit similarity of 0.8 or more, found along
-the diagonals within the band that this similarity leaves. Classes are connected components.
+leader, picked anew by hash in each bucket. Where some are unlike their leader, the bucket is
+divided by the values of each further band, with a leader in each part, and so on, so that texts
+that share a frequent passage come apart. Pairs with fewer equal sketches than similar texts
+have, but for one in a million, are unlike without a look at the texts. A pair is linked if the
+multisets of shingles have a Jaccard similarity of 0.8 or more and the words an edit similarity
+of 0.8 or more, found along the diagonals within the band that this similarity leaves. Classes
+are connected components.
 
 Equal texts are one node throughout, so thousands of copies cost one comparison. Buckets are
 counted before the shuffle and joined back by joins that adaptive execution can split.
@@ -33,6 +36,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 16
 SKETCHES_A_BAND = 2
+# Of the sketches, as many are equal at least; at the wanted similarity 20 of 32 are on average.
+LEAST_EQUAL = 8
 KEPT_WORDS = 300_000
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -89,13 +94,13 @@ def occurrence_labelled(hashes: np.ndarray) -> np.ndarray:
         return np.where(labels > 0, mixed(hashes + labels * _MIX_2), hashes)
 
 
-def band_values(words: np.ndarray, bands: int = BANDS, rows: int = SKETCHES_A_BAND) -> list[int]:
-    """One signed 64-bit number per band."""
-    factors = mixed(np.arange(1, bands * rows + 1, dtype=np.uint64)) | np.uint64(1)
+def sketches(words: np.ndarray, count: int = BANDS * SKETCHES_A_BAND) -> np.ndarray:
+    """The sketches of a text of hashed words, as signed 64-bit numbers."""
+    factors = mixed(np.arange(1, count + 1, dtype=np.uint64)) | np.uint64(1)
     with np.errstate(over="ignore"):
         h = occurrence_labelled(shingles(words))
         seen = factors[:, None] * h
-        each = np.arange(len(factors))
+        each = np.arange(count)
         one = seen.argmin(1)
         if len(h) > 1:
             seen[each, one] = ~np.uint64(0)
@@ -103,11 +108,13 @@ def band_values(words: np.ndarray, bands: int = BANDS, rows: int = SKETCHES_A_BA
         else:
             two = one
         head, tail = h[np.minimum(one, two)], h[np.maximum(one, two)]
-        sketches = mixed(mixed(head) + tail + factors).reshape(bands, rows)
-        total = np.arange(bands, dtype=np.uint64)
-        for k in range(rows):
-            total = mixed(total + sketches[:, k])
-    return total.view(np.int64).tolist()
+        return mixed(mixed(head) + tail + factors).view(np.int64)
+
+
+def band_values(listed: Column) -> Column:
+    """One number per band, of its sketches."""
+    band = lambda b: F.xxhash64(*[F.get(listed, b * SKETCHES_A_BAND + k) for k in range(SKETCHES_A_BAND)])
+    return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)
 
 
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
@@ -164,15 +171,15 @@ def text_node(text: Column) -> Column:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``node``, ``doc_id`` and ``bands`` of every document; no bands without words."""
+    """``node``, ``doc_id`` and ``sketches`` of every document; none of those without words."""
 
     def start() -> Callable[[dict], dict]:
         hashes = WordHashes()
 
         def work(batch: dict) -> dict:
             found = [hashes.of(WORD.findall(text or "")) for text in batch["text"]]
-            bands = [band_values(w) if len(w) else [] for w in found]
-            return {"node": batch["node"], "doc_id": batch["doc_id"], "bands": bands}
+            listed = [sketches(w) if len(w) else [] for w in found]
+            return {"node": batch["node"], "doc_id": batch["doc_id"], "sketches": listed}
 
         return work
 
@@ -180,21 +187,36 @@ def sketched(docs: DataFrame) -> DataFrame:
     return map_batches(
         docs.select(text_node(F.col("text")).alias("node"), "doc_id", "text"),
         start,
-        f"node binary, doc_id {kind}, bands array<long>",
+        f"node binary, doc_id {kind}, sketches array<long>",
     )
 
 
-def _led(buckets: DataFrame, name: str) -> DataFrame:
-    """``buckets`` of more than one node, with the ``leader`` of each on its other rows."""
+def _led(buckets: DataFrame) -> DataFrame:
+    """The rows of ``buckets`` that hold an ``open`` one among several, with the ``leader`` and
+    ``asked``, whether the row is to be compared with it. Equal rows of a bucket are one."""
     order = F.xxhash64("node", "bucket")
     leaders = (
         buckets.groupBy("bucket")
-        .agg(F.min(F.struct(order.alias("o"), "node")).alias("first"), F.count("*").alias("n"))
-        .where("n > 1")
-        .select("bucket", F.col("first.node").alias("leader"))
+        .agg(
+            F.min(F.struct(order.alias("o"), "node", "open")).alias("first"),
+            F.max("open").alias("any"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .where("n > 1 and any")
+        .select("bucket", F.col("first.node").alias("leader"), F.col("first.open").alias("_led_open"))
     )
-    led = buckets.join(materialize(leaders, f"{name}-leaders"), "bucket").where("node <> leader")
-    return materialize(led, f"{name}-led")
+    led = buckets.join(materialize(leaders, "near-leaders"), "bucket")
+    asked = (F.col("node") != F.col("leader")) & (F.col("open") | F.col("_led_open"))
+    return materialize(led.withColumn("asked", asked).drop("open", "_led_open"), "near-led")
+
+
+def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs with enough equal sketches to be similar."""
+    one = nodes.select("node", F.col("sketches").alias("_one"))
+    other = nodes.select(F.col("node").alias("leader"), F.col("sketches").alias("_other"))
+    same = F.filter(F.zip_with("_one", "_other", lambda a, b: a == b), lambda x: x)
+    joined = pairs.join(one, "node").join(other, "leader")
+    return joined.where(F.size(same) >= LEAST_EQUAL).select("node", "leader")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -223,36 +245,64 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Verified links between nodes, enough of them to connect each class."""
-    buckets = nodes.select(
-        "node", F.posexplode("bands").alias("band", "value")
-    ).select("node", F.xxhash64("band", "value").alias("bucket"))
-    led = _led(buckets, "near")
-    pairs = led.select("node", "leader").distinct()
-    wanted = led.select("node").union(led.select("leader")).distinct()
-    texts = materialize(
-        docs.select(text_node(F.col("text")).alias("node"), whole(F.col("text")).alias("text"))
-        .join(materialize(wanted, "near-wanted"), "node", "left_semi")
-        .groupBy("node")
-        .agg(F.first("text").alias("text")),
-        "near-texts",
+    worded = nodes.where(F.size("sketches") > 0)
+    banded = worded.select("node", F.posexplode(band_values(F.col("sketches"))).alias("band", "value"))
+    buckets = banded.select(
+        "node", "band", F.xxhash64("band", "value").alias("bucket"), F.lit(True).alias("open")
     )
-    found = None
+    texts = found = None
     while True:
+        led = _led(buckets)
+        pairs = led.where("asked").select("node", "leader").distinct()
+        pairs = materialize(_alike(pairs, nodes), "near-pairs")
+        if texts is None:
+            # later levels divide these buckets, so they need no other texts
+            members = led.select("node").union(led.select("leader")).distinct()
+            texts = _texts(docs, materialize(members, "near-members"))
         linked = materialize(_verified(pairs, texts), "near-links")
         found = linked if found is None else found.unionByName(linked)
-        unlike = led.join(linked, ["node", "leader"], "left_anti").select("node", "bucket")
-        led = _led(materialize(unlike, "near-unlike"), "near")
-        pairs = led.select("node", "leader").distinct()
-        if pairs.isEmpty():
+        left = led.join(
+            linked.withColumn("_linked", F.lit(True)), ["node", "leader"], "left"
+        ).select(
+            "node", "bucket", "band", (F.col("asked") & F.col("_linked").isNull()).alias("open")
+        )
+        left = materialize(left, "near-left")
+        unlike = left.where("open").select("bucket").distinct()
+        if unlike.isEmpty():
             return found
+        further = left.join(materialize(unlike, "near-unlike"), "bucket").where(
+            F.col("band") < BANDS - 1
+        )
+        values = nodes.select("node", band_values(F.col("sketches")).alias("_values"))
+        divided = further.join(values, "node").select(
+            "node",
+            "bucket",
+            "open",
+            F.explode(F.sequence(F.col("band") + 1, F.lit(BANDS - 1))).alias("band"),
+            "_values",
+        )
+        part = F.xxhash64("bucket", "band", F.get("_values", F.col("band")))
+        buckets = divided.select("node", "band", part.alias("bucket"), "open")
+
+
+def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The text of each of the nodes in ``members``, written."""
+    return materialize(
+        docs.select(text_node(F.col("text")).alias("node"), whole(F.col("text")).alias("text"))
+        .join(members, "node", "left_semi")
+        .groupBy("node")
+        .agg(F.first("text").alias("text")),
+        "near-texts",
+    )
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
-    """Per row of ``docs``: ``doc_id``, ``node`` and ``class_id``, the smallest id in its class."""
+    """Per row of ``docs``: ``doc_id``, ``node``, ``class_id``, the smallest id in its class, and
+    ``root``, by which classes differ whose smallest ids are equal."""
     rows = materialize(sketched(docs), "near-sketches")
     nodes = materialize(
         rows.groupBy("node").agg(
-            F.min("doc_id").alias("smallest"), F.first("bands").alias("bands")
+            F.min("doc_id").alias("smallest"), F.first("sketches").alias("sketches")
         ),
         "near-nodes",
     )
@@ -263,7 +313,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     rooted = materialize(rooted, "near-roots")
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("class_id"))
     named = rooted.join(materialize(smallest, "near-smallest"), "root").select(
-        "node", "class_id", F.col("smallest").eqNullSafe(F.col("class_id")).alias("_first")
+        "node", "class_id", "root"
     )
     return rows.select("doc_id", "node").join(materialize(named, "near-classes"), "node")
 
@@ -272,9 +322,11 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The document with the smallest id of each class, with its own columns."""
     classes = near_classes(docs)
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    # a class of rows with equal ids keeps the smallest text digest
-    chosen = kept.groupBy("class_id").agg(F.min("node").alias("_near_node"))
-    chosen = materialize(chosen.withColumnRenamed("class_id", "_near_id"), "near-chosen")
+    # of rows with the smallest id, the one with the smallest digest
+    chosen = kept.groupBy("root").agg(
+        F.min(F.struct("node", "class_id")).alias("_near")
+    ).select(F.col("_near.class_id").alias("_near_id"), F.col("_near.node").alias("_near_node"))
+    chosen = materialize(chosen, "near-chosen")
     own = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("_near_own", text_node(F.col("text")))
     found = marked.join(
