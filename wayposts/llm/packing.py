@@ -12,6 +12,7 @@ as separate documents; an empty table gives an empty result; other columns are n
 """
 
 import os
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable
@@ -21,35 +22,83 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from wayposts.llm.arrow import WORD, map_batches
+from wayposts.llm.arrow import map_batches
 from wayposts.sources.shared_folder import materialize
 
 CAPACITY = 4096
 CLOSING_ID = 1
-KEPT_WORDS = 250_000
+KEPT_WORDS = 500_000
 _BUCKETS = 512
 
+# Words that are one word to the tokenizer whatever stands around them.
+PLAIN = re.compile("[a-zß-öø-ÿ]+")
+
 # (times used, ((length, pieces of it in one sequence), ...))
 Pattern = tuple[int, tuple[tuple[int, int], ...]]
 
 
-def word_encoder(tokenizer_path: str) -> Callable[[set[str]], dict[str, bytes]]:
-    """Encodes words apart, to their ids as little-endian 32-bit numbers.
+class WordIds(dict):
+    """Ids of words as packed little-endian 32-bit numbers, for words that ``learn`` was given.
 
     The tokenizer drops white space and joins nothing across it, so the ids of a text are those
-    of its words one after another.
+    of its words one after another. A comma or full stop after a letter is a word of its own to
+    it. Words of plain letters are single words to it too; they are encoded many at a time and
+    told apart by the ids that end a word.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
 
-    def encode(words: set[str]) -> dict[str, bytes]:
-        listed = list(words)
-        found = tokenizer.encode_batch_fast(listed, add_special_tokens=False)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(listed, found)}
-
-    return encode
+    def __init__(self, tokenizer_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        size = self.tokenizer.get_vocab_size()
+        self.ends = np.zeros(size, bool)
+        for token, number in self.tokenizer.get_vocab().items():
+            self.ends[number] = token.endswith("</w>")
+
+    def learn(self, words: set[bytes]) -> None:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        fresh = {w for w in words if w not in self}
+        marked = [w for w in fresh if w[-1:] in (b",", b".") and w[-2:-1].isalpha()]
+        fresh.difference_update(marked)
+        fresh.update(stem for w in marked for stem in (w[:-1], w[-1:]) if stem not in self)
+        plain = [w for w in fresh if PLAIN.fullmatch(w.decode())]
+        fresh.difference_update(plain)
+        for at in range(0, len(plain), 1000):
+            fresh.update(self._learn_together(plain[at : at + 1000]))
+        others = list(fresh)
+        for word, ids in zip(others, self._encode([w.decode() for w in others])):
+            self[word] = np.array(ids, "<u4").tobytes()
+        for word in marked:
+            self[word] = self[word[:-1]] + self[word[-1:]]
+
+    def _learn_together(self, words: list[bytes]) -> list[bytes]:
+        """Learns words from one text of them all; gives them back if they can't be told apart."""
+        ids = np.array(self._encode([b" ".join(words).decode()])[0], "<u4")
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(words):
+            return words
+        packed, start = ids.tobytes(), 0
+        for word, end in zip(words, ends.tolist()):
+            self[word] = packed[4 * start : 4 * end]
+            start = end
+        return []
+
+    def _encode(self, texts: list[str]) -> list[list[int]]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [each.ids for each in found]
+
+
+def byte_words(text: str | None) -> list[bytes]:
+    """The words of a text in UTF-8, their A-Z in lower case where that changes no id.
+
+    It would where the name of a special token or a letter with a combining mark appears.
+    """
+    raw = (text or "").encode("utf-8", "surrogatepass")
+    if not any(mark in raw for mark in (b"<|", b"\xcc", b"\xcd")):
+        raw = raw.lower()
+    return raw.split()
 
 
 def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
@@ -59,16 +108,13 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     def start() -> Callable[[dict], dict]:
         import public_tokenizers
 
-        encode = word_encoder(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
-        known: dict[str, bytes] = {}
+        known = WordIds(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
         rows = 0
 
         def work(batch: dict) -> dict:
             nonlocal rows
-            texts = [WORD.findall(text or "") for text in batch["text"]]
-            if len(known) > KEPT_WORDS:
-                known.clear()
-            known.update(encode({w for words in texts for w in words if w not in known}))
+            texts = [byte_words(text) for text in batch["text"]]
+            known.learn(set().union(*texts))
             made: dict[str, list] = {
                 n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "bucket")
             }
