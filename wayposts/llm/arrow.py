@@ -16,17 +16,17 @@ def map_batches(
     df: DataFrame,
     start: Callable[[], Callable[[dict], dict]],
     schema: str,
+    rows: int = TEXT_ROWS,
 ) -> DataFrame:
     """``df`` through a function from columns to columns, given as dicts of lists.
 
     ``start`` runs once per task and returns that function, so that what it loads is shared by
-    the task's batches. A batch is passed on in pieces of at most ``TEXT_ROWS`` rows.
+    the task's batches. A batch is passed on in pieces of at most ``rows`` rows.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import _parse_datatype_string
 
     arrow = to_arrow_schema(_parse_datatype_string(schema))
-    rows = TEXT_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = start()
