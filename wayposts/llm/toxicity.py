@@ -256,7 +256,9 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
     None if one of the labels does not occur.
     """
     texts = docs.select("doc_id", "text")
-    cues = find_cues(texts.join(labels.select("doc_id", "toxic"), "doc_id"))
+    # one way of joining at every size, so that a small trial tells what a large run will move
+    known = labels.select("doc_id", "toxic").hint("merge")
+    cues = find_cues(texts.join(known, "doc_id"))
     if not cues:
         return None
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
