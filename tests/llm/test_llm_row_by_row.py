@@ -1,8 +1,11 @@
 """Quality rules, secret scans, token counts and toxicity."""
 
 import hashlib
+import itertools
 import random
 import re
+import subprocess
+import sys
 
 import numpy as np
 import pytest
@@ -107,6 +110,19 @@ def test_words_are_no_secrets(texts):
     assert secrets.token_spans(plain, count, []) == []
 
 
+def test_long_slugs_are_told_in_one_pass():
+    pattern = secrets.IDENTIFIER.pattern
+    for slug in ("how-to-build-large-language-model-training-data-2024-01-15", "a" * 45 + "12345",
+                 "x" * 50 + "=", "someLongCamelCaseName" * 4 + "-2024-01-15"):
+        code = f"import re; print(re.fullmatch({pattern!r}, {slug!r}))"
+        told = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=20)
+        assert told.stdout == "None\n"
+    parts = re.compile(r"[A-Z]?[a-z]+([_/-]?[A-Z]?[a-z]+)*[_-]?[0-9]{0,4}|[A-Z]+([_/-][A-Z]+)*|[0-9+/_=-]+")
+    for n in range(1, 7):
+        for word in map("".join, itertools.product("aB_-2", repeat=n)):
+            assert bool(secrets.IDENTIFIER.fullmatch(word)) == bool(parts.fullmatch(word)), word
+
+
 @pytest.fixture(scope="module")
 def vocabulary():
     import public_tokenizers

@@ -40,7 +40,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_CANDIDATE},}}")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
-IDENTIFIER = re.compile(r"[A-Z]?[a-z]+([_/-]?[A-Z]?[a-z]+)*[_-]?[0-9]{0,4}|[A-Z]+([_/-][A-Z]+)*|[0-9+/_=-]+")
+# Runs of letters are taken whole (++, *+), so a word that does not fit fails in one pass.
+IDENTIFIER = re.compile(
+    r"[A-Z]?[a-z]++([_/-][A-Z]?[a-z]++|[A-Z][a-z]++)*+[_-]?[0-9]{0,4}|[A-Z]+([_/-][A-Z]+)*|[0-9+/_=-]+"
+)
 
 Span = tuple[str, int, int]
 
