@@ -110,6 +110,25 @@ def test_words_are_no_secrets(texts):
     assert secrets.token_spans(plain, count, []) == []
 
 
+@pytest.mark.parametrize("secret", ["Xk9fQ2mZ8rTb4LpW", "7Qz/12/Vw8Kp-3xYtN0bRfJ", "pT4vNq81Zs6LgX2dWb9RmC5y"])
+def test_names_joined_to_a_secret_do_not_hide_it(secret):
+    import public_tokenizers
+
+    count = secrets.token_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    for name in ("deploy/production/service-account/private-key=", "internal_service_account_key_",
+                 "international-organization-for-documentation-", "production/production/production/"):
+        for tail in ("", "/production/documentation", "_international_organization_key"):
+            text = f"see {name}{secret}{tail} here"
+            at = 4 + len(name)
+            for taken in ([], [("hex", text.index(" here") - 1, len(text))] if tail else []):
+                [(_, start, end)] = secrets.token_spans(text, count, taken)
+                assert min(end, at + len(secret)) - max(start, at) >= secrets.LEAST_CANDIDATE
+    for plain in ("users/123e4567-e89b-42d3-a456-426614174000/documentation-v2",
+                  "documentation/gp/product/B00X4WHP5E/ref=sr_1_3", "archive/2024-01-15/documentation-utf8-mp3",
+                  "blobs/sha1/" + "DA39A3EE5E6B4B0D3255BFEF95601890AFD80709" + "/documentation"):
+        assert secrets.token_spans(plain, count, []) == []
+
+
 def test_long_slugs_are_told_in_one_pass():
     pattern = secrets.IDENTIFIER.pattern
     for slug in ("how-to-build-large-language-model-training-data-2024-01-15", "a" * 45 + "12345",

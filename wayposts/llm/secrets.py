@@ -2,7 +2,9 @@
 
 A string that a byte-pair vocabulary needs many tokens for, relative to its length, holds no
 words: few characters per token point to random text. Digests of known lengths, numbers and
-word-like identifiers are left out before the test.
+word-like identifiers are left out before the test. Where a whole run of characters passes as
+readable, its pieces between separators are tested too, so a name or path joined to a random
+string does not hide it.
 
 Defined cases: a null text is an empty one and has no spans; rows are scanned one by one, so
 equal rows get equal results; other columns are not read. Offsets count code points.
@@ -39,7 +41,9 @@ ASSIGN = re.compile(rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 CANDIDATE = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{LEAST_CANDIDATE},}}")
+PIECE = re.compile(r"[A-Za-z0-9]+")
 UUID = re.compile(r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
+UUID_PART = re.compile(rf"(?<![A-Za-z0-9]){UUID.pattern}(?![A-Za-z0-9])")
 # Runs of letters are taken whole (++, *+), so a word that does not fit fails in one pass.
 IDENTIFIER = re.compile(
     r"[A-Z]?[a-z]++([_/-][A-Z]?[a-z]++|[A-Z][a-z]++)*+[_-]?[0-9]{0,4}|[A-Z]+([_/-][A-Z]+)*|[0-9+/_=-]+"
@@ -74,15 +78,65 @@ def is_known(found: str) -> bool:
     return bool(digest or UUID.fullmatch(found) or IDENTIFIER.fullmatch(found))
 
 
+def _worst_range(pieces: list[tuple[int, int, float]]) -> tuple[int, int] | None:
+    """Numbers of the first and last of the neighbouring pieces (start, end, score) that span
+    ``LEAST_CANDIDATE`` characters or more and have the highest score; None if it is negative."""
+    best, most = None, 0.0
+    total, before = 0.0, []
+    first = at = 0
+    for last, (start, end, score) in enumerate(pieces):
+        if last:
+            total -= start - pieces[last - 1][1]
+        before.append(total)
+        total += score
+        while at <= last and end - pieces[at][0] >= LEAST_CANDIDATE:
+            first = at if before[at] <= before[first] else first
+            at += 1
+        if at and total - before[first] >= most:
+            best, most = (first, last), total - before[first]
+    return best
+
+
+def random_parts(
+    text: str, start: int, end: int, count: Callable[[str], int], taken: list[Span]
+) -> list[tuple[int, int]]:
+    """The random-looking ranges of pieces in a run that holds readable ones too.
+
+    Separators count as characters without tokens, and so do identifiers and numbers; pieces
+    that are digests or overlap a span in ``taken`` are in no range.
+    """
+    closed = [(s, e) for _, s, e in taken] + [m.span() for m in UUID_PART.finditer(text, start, end)]
+    groups: list[list[tuple[int, int, float]]] = [[]]
+    for m in PIECE.finditer(text, start, end):
+        s, e = m.span()
+        readable = IDENTIFIER.fullmatch(m[0])
+        if any(s < b and a < e for a, b in closed) or (not readable and is_known(m[0])):
+            groups.append([])
+        else:
+            score = 0.0 if readable else MOST_CHARS_A_TOKEN * count(m[0])
+            groups[-1].append((s, e, score - len(m[0])))
+    found = []
+    while groups:
+        group = groups.pop()
+        if worst := _worst_range(group):
+            first, last = worst
+            found.append((group[first][0], group[last][1]))
+            groups += [group[:first], group[last + 1 :]]
+    return sorted(found)
+
+
 def token_spans(text: str, count: Callable[[str], int], taken: list[Span]) -> list[Span]:
     """Random-looking strings that overlap no span in ``taken``; ``count`` counts tokens."""
     spans = []
     for m in CANDIDATE.finditer(text):
         found, (start, end) = m[0], m.span()
-        if is_known(found) or any(start < e and s < end for _, s, e in taken):
+        if is_known(found):
             continue
-        if len(found) <= MOST_CHARS_A_TOKEN * count(found):
+        over = [t for t in taken if start < t[2] and t[1] < end]
+        if not over and len(found) <= MOST_CHARS_A_TOKEN * count(found):
             spans.append(("token", start, end))
+        else:
+            spans += [("token", *part) for part in random_parts(text, start, end, count, over)]
     return spans
 
 
