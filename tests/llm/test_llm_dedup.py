@@ -126,6 +126,32 @@ def test_members_unlike_their_leader_find_each_other(spark, monkeypatch):
     assert found == _classes(rows)
 
 
+def test_pairs_among_hundreds_of_texts_with_their_passage_are_found(spark):
+    chance = random.Random(31)
+    passage = some_words(chance, 300)
+    rows, pairs = [], []
+    for number in range(60):
+        words = passage + [f"own{number}x{i}" for i in range(60)]
+        # in the passage, so that the pair shares few bands
+        other = list(words)
+        for at in chance.sample(range(0, 300, 12), 7):
+            other[at] = f"new{number}x{at}"
+        pairs.append((len(rows), len(rows) + 1))
+        rows += [" ".join(words), " ".join(other)]
+    for number in range(400):
+        own = [f"fill{number}x{i}" for i in range(120)]
+        at = chance.randrange(120)
+        rows.append(" ".join(own[:at] + passage + own[at:]))
+    rows = list(enumerate(rows))
+    hashes = near.WordHashes()
+    listed = [near.sketches(hashes.of(text.split())).reshape(near.BANDS, -1) for _, text in rows]
+    for a, b in pairs:
+        assert jaccard(rows[a][1], rows[b][1]) >= 0.8
+        assert (listed[a] == listed[b]).all(1).any()
+    found = {r["doc_id"]: r["class_id"] for r in near.near_classes(documents(spark, rows)).collect()}
+    assert found == {i: i - 1 if i < 120 and i % 2 else i for i, _ in rows}
+
+
 def test_edit_distance_within_a_band():
     chance = random.Random(17)
 

@@ -3,16 +3,17 @@
 Each sketch of a text takes the two smallest of its five-word shingles under one hash, each
 shingle labelled with how often it occurred before, in the order in which they stand. Texts that
 share all sketches of a band are candidates. Within a bucket every text is compared with one
-leader, picked anew by hash in each bucket. Where some are unlike their leader, the bucket is
-divided by the values of each further band, with a leader in each part, and so on, so that texts
-that share a frequent passage come apart. Pairs with fewer equal sketches than similar texts
-have, but for one in a million, are unlike without a look at the texts. A pair is linked if the
+leader, picked anew by hash in each bucket. Buckets that still hold several classes are then
+finished: all pairs of different classes are compared, first the nearest text of each class, and
+once these classes are united, all that are left. Pairs with fewer equal sketches than similar
+texts have, but for one in a million, are unlike without a look at the texts. A pair is linked if the
 multisets of shingles have a Jaccard similarity of 0.8 or more and the words an edit similarity
 of 0.8 or more, found along the diagonals within the band that this similarity leaves. Classes
 are connected components.
 
 Equal texts are one node throughout, so thousands of copies cost one comparison. Buckets are
-counted before the shuffle and joined back by joins that adaptive execution can split.
+counted before the shuffle and joined back by joins that adaptive execution can split; pairs
+across classes are made from blocks of bounded size, so a task never holds a whole bucket.
 
 Defined cases: a null text is an empty one; texts with fewer than five words are one shingle;
 equal texts, empty ones too, are always in one class; a null ``doc_id`` is the last of a class;
@@ -21,9 +22,10 @@ result.
 """
 
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +41,9 @@ SKETCHES_A_BAND = 2
 # Of the sketches, as many are equal at least; at the wanted similarity 20 of 32 are on average.
 LEAST_EQUAL = 8
 KEPT_WORDS = 300_000
+# Texts outside a bucket's largest class, and texts they are compared with, in one task on average.
+OPEN_ROWS = 1024
+ASKED_ROWS = 4096
 
 _MIX_1, _MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -192,22 +197,16 @@ def sketched(docs: DataFrame) -> DataFrame:
 
 
 def _led(buckets: DataFrame) -> DataFrame:
-    """The rows of ``buckets`` that hold an ``open`` one among several, with the ``leader`` and
-    ``asked``, whether the row is to be compared with it. Equal rows of a bucket are one."""
+    """The rows of ``buckets`` that hold several texts, with the ``leader`` of the bucket."""
     order = F.xxhash64("node", "bucket")
     leaders = (
         buckets.groupBy("bucket")
-        .agg(
-            F.min(F.struct(order.alias("o"), "node", "open")).alias("first"),
-            F.max("open").alias("any"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .where("n > 1 and any")
-        .select("bucket", F.col("first.node").alias("leader"), F.col("first.open").alias("_led_open"))
+        .agg(F.min(F.struct(order.alias("o"), "node")).alias("first"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1")
+        .select("bucket", F.col("first.node").alias("leader"))
     )
     led = buckets.join(materialize(leaders, "near-leaders"), "bucket")
-    asked = (F.col("node") != F.col("leader")) & (F.col("open") | F.col("_led_open"))
-    return materialize(led.withColumn("asked", asked).drop("open", "_led_open"), "near-led")
+    return materialize(led.select("node", "leader"), "near-led")
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -243,46 +242,157 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Verified links between nodes, enough of them to connect each class."""
-    worded = nodes.where(F.size("sketches") > 0)
-    banded = worded.select("node", F.posexplode(band_values(F.col("sketches"))).alias("band", "value"))
-    buckets = banded.select(
-        "node", "band", F.xxhash64("band", "value").alias("bucket"), F.lit(True).alias("open")
-    )
-    texts = found = None
-    while True:
-        led = _led(buckets)
-        pairs = led.where("asked").select("node", "leader").distinct()
-        pairs = materialize(_alike(pairs, nodes), "near-pairs")
-        if texts is None:
-            # later levels divide these buckets, so they need no other texts
-            members = led.select("node").union(led.select("leader")).distinct()
-            texts = _texts(docs, materialize(members, "near-members"))
-        linked = materialize(_verified(pairs, texts), "near-links")
-        found = linked if found is None else found.unionByName(linked)
-        left = led.join(
-            linked.withColumn("_linked", F.lit(True)), ["node", "leader"], "left"
-        ).select(
-            "node", "bucket", "band", (F.col("asked") & F.col("_linked").isNull()).alias("open")
-        )
-        left = materialize(left, "near-left")
-        unlike = left.where("open").select("bucket").distinct()
-        if unlike.isEmpty():
-            return found
-        further = left.join(materialize(unlike, "near-unlike"), "bucket").where(
-            F.col("band") < BANDS - 1
+def _bucketed(nodes: DataFrame, *kept: str) -> DataFrame:
+    """A row with the ``band`` and ``bucket`` for each band of every text with words."""
+    values = F.posexplode(band_values(F.col("sketches"))).alias("band", "value")
+    banded = nodes.where(F.size("sketches") > 0).select("node", *kept, values)
+    return banded.select("node", *kept, "band", F.xxhash64("band", "value").alias("bucket"))
+
+
+def _unfinished(rooted: DataFrame) -> DataFrame:
+    """Rows of the tasks that compare the texts outside the largest class of a bucket (``own``)
+    with all of the bucket, block by block; ``key`` tells the tasks apart."""
+    banded = _bucketed(rooted, "root")
+    classes = (
+        banded.groupBy("bucket", "root")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("bucket")
+        .agg(
+            F.max(F.struct("n", "root")).alias("main"),
+            F.sum("n").alias("total"),
+            F.count(F.lit(1)).alias("classes"),
         )
-        values = nodes.select("node", band_values(F.col("sketches")).alias("_values"))
-        divided = further.join(values, "node").select(
-            "node",
+        .where("classes > 1")
+        .select(
             "bucket",
-            "open",
-            F.explode(F.sequence(F.col("band") + 1, F.lit(BANDS - 1))).alias("band"),
-            "_values",
+            F.col("main.root").alias("main"),
+            F.ceil((F.col("total") - F.col("main.n")) / OPEN_ROWS).alias("blocks"),
+            F.ceil(F.col("total") / ASKED_ROWS).alias("parts"),
         )
-        part = F.xxhash64("bucket", "band", F.get("_values", F.col("band")))
-        buckets = divided.select("node", "band", part.alias("bucket"), "open")
+    )
+    rows = banded.join(materialize(classes, "near-mixed"), "bucket").select(
+        "node", "band", "bucket", "blocks", "parts", (F.col("root") != F.col("main")).alias("open")
+    )
+    rows = materialize(rows, "near-unfinished")
+    low = lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    facts = rooted.select(
+        "node",
+        F.xxhash64("root").alias("class"),
+        F.xxhash64("node").alias("hash"),
+        F.transform("sketches", low).alias("sketches"),
+    )
+    each = lambda name: F.sequence(F.lit(0).cast("long"), F.col(name) - 1)
+    one = lambda name, seed: F.array(F.pmod(F.xxhash64("node", F.lit(seed)), F.col(name)))
+    own = rows.where("open").select("*", F.lit(True).alias("own"), one("blocks", 1).alias("_b"), each("parts").alias("_p"))
+    asked = rows.select("*", F.lit(False).alias("own"), each("blocks").alias("_b"), one("parts", 2).alias("_p"))
+    dealt = (
+        own.union(asked)
+        .select("node", "band", "bucket", "open", "own", F.explode("_b").alias("_b"), "_p")
+        .select("node", "band", "open", "own", "bucket", "_b", F.explode("_p").alias("_p"))
+        .select("node", "band", "open", "own", F.xxhash64("bucket", "_b", "_p").alias("key"))
+    )
+    return dealt.join(facts, "node").select(
+        "key", "own", "open", "band", "class", "hash", "node", "sketches"
+    )
+
+
+def _across(group: pa.Table, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of different classes in a task's rows with enough equal sketches; if
+    ``nearest``, for each own text only the one with the most of each class.
+
+    A pair is told only in the first of the bands that it shares.
+    """
+    own, opened, band, kind, order = (
+        group.column(n).to_numpy() for n in ("own", "open", "band", "class", "hash")
+    )
+    listed = pa.concat_arrays([c.flatten() for c in group.column("sketches").chunks])
+    listed = listed.to_numpy().reshape(len(own), -1)
+    a, b = np.flatnonzero(own), np.flatnonzero(~own)
+    ones, others = [], []
+    for at in range(0, len(a), 64):
+        x = a[at : at + 64]
+        equal = listed[x][:, None, :] == listed[b][None, :, :]
+        count = equal.sum(2)
+        # of two open texts each is asked by the other
+        once = ~opened[b] | (order[x][:, None] <= order[b])
+        i, j = np.nonzero((count >= LEAST_EQUAL) & (kind[x][:, None] != kind[b]) & once)
+        shared = equal[i, j].reshape(len(i), BANDS, SKETCHES_A_BAND).all(2)
+        here = shared.argmax(1) == band[x[i]]
+        i, j = i[here], j[here]
+        if nearest and len(i):
+            ranked = np.lexsort((order[b[j]], -count[i, j], kind[b[j]], i))
+            i, j = i[ranked], j[ranked]
+            new = np.ones(len(i), bool)
+            new[1:] = (i[1:] != i[:-1]) | (kind[b[j[1:]]] != kind[b[j[:-1]]])
+            i, j = i[new], j[new]
+        ones.append(x[i])
+        others.append(b[j])
+    none = [np.empty(0, int)]
+    return np.concatenate(ones or none), np.concatenate(others or none)
+
+
+def _candidates(rooted: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs of texts that share a bucket, have enough equal sketches and are of different
+    classes, the ``node`` before the ``leader``."""
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            for low, high in zip(cuts[:-1], cuts[1:]):
+                if low == high:
+                    continue
+                if held and keys[low] != last:
+                    yield pa.Table.from_batches(held)
+                    held = []
+                held.append(batch.slice(low, high - low))
+                last = keys[low]
+        if held:
+            yield pa.Table.from_batches(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("node", pa.binary()), ("leader", pa.binary())])
+        made: tuple[list, list] = ([], [])
+        for group in groups(batches):
+            nodes = group.column("node")
+            for kept, places in zip(made, _across(group, nearest)):
+                kept += nodes.take(pa.array(places)).to_pylist()
+            if len(made[0]) >= ASKED_ROWS:
+                yield pa.RecordBatch.from_arrays([pa.array(m, pa.binary()) for m in made], schema=schema)
+                made = ([], [])
+        yield pa.RecordBatch.from_arrays([pa.array(m, pa.binary()) for m in made], schema=schema)
+
+    rows = _unfinished(rooted).repartition("key").sortWithinPartitions("key")
+    return _ordered(rows.mapInArrow(run, "node binary, leader binary")).distinct()
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
+        F.least("node", "leader").alias("node"), F.greatest("node", "leader").alias("leader")
+    )
+
+
+def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Verified links between nodes, enough of them to connect each class."""
+    led = _led(_bucketed(nodes))
+    pairs = led.where("node <> leader").distinct()
+    asked = materialize(_alike(pairs, nodes), "near-pairs")
+    # only these have others to be compared with
+    members = materialize(led.select("node").distinct(), "near-members")
+    texts = _texts(docs, members)
+    found = materialize(_verified(asked, texts), "near-links")
+    for nearest in (True, False):
+        rooted = nodes.join(members, "node", "left_semi").join(components(found), "node", "left")
+        rooted = rooted.select("node", "sketches", F.coalesce("component", "node").alias("root"))
+        pairs = materialize(_candidates(materialize(rooted, "near-rooted"), nearest), "near-across")
+        if pairs.isEmpty():
+            break
+        pairs = pairs.join(_ordered(asked), ["node", "leader"], "left_anti")
+        found = found.unionByName(materialize(_verified(pairs, texts), "near-links"))
+        asked = asked.unionByName(pairs)
+    return found
 
 
 def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
