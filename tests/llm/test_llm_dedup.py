@@ -266,3 +266,19 @@ def test_beam_is_widened_until_the_audit_passes(monkeypatch):
     rows, found = embeddings.find_links(graph, x.astype(float), moved.astype(float), 0.9)
     true = set(zip(*map(np.ndarray.tolist, np.nonzero(moved @ x.T >= 0.9))))
     assert len(true & set(zip(rows.tolist(), found.tolist()))) >= 0.97 * len(true)
+
+
+def test_a_group_of_copies_does_not_pass_the_audit_for_the_rest(monkeypatch):
+    draw = np.random.default_rng(5)
+    copies = draw.standard_normal(48) + 0.05 * draw.standard_normal((500, 48))
+    rest = draw.standard_normal((1000, 48))
+    x = embeddings.unit(np.concatenate([copies, rest]))
+    graph = hnsw.build(x, degree=6, beam=12)
+    monkeypatch.setattr(embeddings, "FIRST_BEAM", 4)
+    moved = embeddings.unit(x + draw.standard_normal(x.shape) * 0.04)
+    asked = moved[draw.permutation(len(moved))[:300]]
+    beam = embeddings.audited_beam(graph, asked, 0.9)
+    rare = moved[500:]
+    rows, found, _ = embeddings._beamed(graph, rare, beam, 0.9)
+    true = set(zip(*map(np.ndarray.tolist, np.nonzero(rare @ x.T >= 0.9))))
+    assert len(true & set(zip(rows.tolist(), found.tolist()))) >= 0.97 * len(true)
