@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayposts.llm import (
+    bpe,
     embeddings,
     lines,
     mixing,
@@ -100,6 +101,16 @@ def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(docs, crc_fold(F.col("doc_id"), 5) != 1)
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
+    return decoded.select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_mix": op1_mix,
@@ -112,6 +123,7 @@ def queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_packing": op9_packing,
         "op10_scoring": op10_scoring,
+        "op13_bpe": op13_bpe,
     }
 
 
