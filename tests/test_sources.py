@@ -287,3 +287,14 @@ def test_tables_are_released(spark):
         assert not os.path.exists(place) and not folders._written
     finally:
         folders._written = kept
+
+
+def test_one_table_is_released(spark):
+    from wayposts.sources.shared_folder import release
+
+    first, second = (materialize(posts(spark, dict(owner=o)), "posts") for o in "ab")
+    places = [t.inputFiles()[0].removeprefix("file://") for t in (first, second)]
+    release(first)
+    assert [os.path.exists(p) for p in places] == [False, True]
+    assert second.first().owner == "b"
+    release(posts(spark))

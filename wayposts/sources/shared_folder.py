@@ -41,12 +41,26 @@ def materialize(df: DataFrame, name: str, folder: str | None = None) -> DataFram
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(table: DataFrame) -> None:
+    """Delete a table that ``materialize`` returned, once nothing is read from it any more."""
+    spark = table.sparkSession
+    written = _written.get(spark.sparkContext.applicationId, [])
+    folders = {file.rsplit("/", 2)[-2] for file in table.inputFiles()}
+    for path in [path for path in written if path.rsplit("/", 1)[-1] in folders]:
+        written.remove(path)
+        _delete(spark, path)
+
+
 def release_tables(spark: SparkSession) -> None:
     """Delete the tables that this application wrote with ``materialize``.
 
     Call it when no result that was made from them is used any more.
     """
-    context = spark.sparkContext
-    for path in _written.pop(context.applicationId, []):
-        target = context._jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        _delete(spark, path)
