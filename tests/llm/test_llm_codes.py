@@ -1,0 +1,153 @@
+import math
+import random
+from hashlib import sha256
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wayposts.llm import codes, queries
+from wayposts.sources.tables import literal_frame
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def _vectors(spark, rows, extra=True):
+    frame = literal_frame(spark, rows, SCHEMA)
+    names = "q code near low outer upper used error n part entry sums label_error _label _n _slot"
+    return frame.selectExpr("*", *[f"'x' as `{n}`" for n in names.split()]) if extra else frame
+
+
+def _plain(rows, entries=256, rounds=4):
+    """(vec_id, code, error, label_error, digest) by comparing every part with every entry."""
+    kept = [r for r in rows if r[1] is not None and all(x is not None and math.isfinite(x) for x in r[1])]
+    size = -(-max((len(r[1]) for r in kept), default=0) // 4)
+    whole = []
+    for vec_id, vector, label in kept:
+        q = [max(-(2**26), min(2**26, math.floor(1024 * float(np.float32(x))))) for x in vector]
+        whole.append((vec_id, q, label))
+    whole.sort(key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    x = np.array([q + [0] * (4 * size - len(q)) for _, q, _ in whole], object).reshape(len(whole), 4, size)
+    books = [[list(v[p]) for v in x[:entries]] for p in range(4)]
+
+    def nearest(v, book):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), e) for e, c in enumerate(book))
+
+    for _ in range(rounds):
+        for p in range(4):
+            groups = {}
+            for v in x:
+                groups.setdefault(nearest(v[p], books[p])[1], []).append(v[p])
+            for e, members in groups.items():
+                books[p][e] = [sum(column) // len(members) for column in zip(*members)]
+    found = [[nearest(v[p], books[p]) for p in range(4)] for v in x]
+    errors = [sum(d for d, _ in f) for f in found]
+    by_label = {}
+    for (_, _, label), error in zip(whole, errors):
+        by_label[label] = by_label.get(label, 0) + error
+    digest = sha256(",".join(str(c) for book in books for e in book for c in e).encode()).hexdigest()
+    return sorted(
+        (
+            (i, "".join(f"{e:02x}" for _, e in f), error, by_label[label], digest)
+            for (i, _, label), f, error in zip(whole, found, errors)
+        ),
+        key=str,
+    )
+
+
+def _found(frame, **options):
+    compressed = codes.compress(frame, **options)
+    digest = sha256(",".join(map(str, compressed.books.ravel().tolist())).encode()).hexdigest()
+    rows = codes.with_label_error(compressed.codes).select(
+        "vec_id", F.lower(F.hex("code")), "error", "label_error", F.lit(digest)
+    )
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+def _random_rows(chance, n, size, spread=1.0):
+    centres = [[chance.gauss(0, spread) for _ in range(size)] for _ in range(5)]
+    rows = []
+    for i in range(n):
+        centre = chance.choice(centres)
+        rows.append((i * 3, [c + chance.gauss(0, 0.2) for c in centre], chance.choice([None, 1, 2])))
+    return rows
+
+
+@pytest.mark.parametrize("bounds", [1, 3, 16])
+@pytest.mark.parametrize("entries", [2, 9])
+def test_equals_comparing_with_every_entry(spark, bounds, entries):
+    rows = _random_rows(random.Random(entries), 300, 8)
+    frame = _vectors(spark, rows).repartition(5)
+    assert _found(frame, entries=entries, bounds=bounds) == _plain(rows, entries)
+
+
+def test_ties_and_copies(spark):
+    chance = random.Random(1)
+    grid = [0.0, 1 / 1024, 2 / 1024, -1 / 1024]
+    rows = [(i, [chance.choice(grid) for _ in range(8)], i % 2) for i in range(200)]
+    rows += [(7, rows[7][1], 1)] * 100 + [(500 + i, rows[0][1], 0) for i in range(100)]
+    assert _found(_vectors(spark, rows).repartition(4), entries=20) == _plain(rows, 20)
+
+
+def test_vectors_of_every_kind(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, [0.5] * 8, 1), (2, None, 1), (3, [0.1, None] * 4, 1), (4, [nan] * 8, 2),
+        (5, [inf] * 8, 2), (6, [], None), (7, [0.25] * 3, None), (8, [1.0] * 9, 3),
+        (None, [0.5] * 8, 1), (9, [3e38, -3e38] * 4, 1), (1, [0.5] * 8, 1), (1, [-0.5] * 8, 1),
+        (10, [-0.0001] * 8, 1), (None, None, None),
+    ]
+    assert _found(_vectors(spark, rows)) == _plain(rows)
+
+
+def test_nothing_to_compress(spark):
+    for rows in ([], [(1, None, 1)], [(1, [], 1), (2, [], None)]):
+        found = _found(_vectors(spark, rows))
+        assert found == _plain(rows)
+
+
+def test_bounds_hold_and_save_comparisons():
+    generator = np.random.default_rng(2)
+    x = generator.integers(-500, 500, (2000, 4))
+    book = x[:64].copy()
+    bounds = codes.searched(x, book, 8)
+    saved = 0
+    for _ in range(5):
+        d = codes.squares(x, book)
+        own = d.argmin(1)
+        assert (bounds.near[:, 0] == own).all()
+        assert (np.sqrt(d.min(1)) <= bounds.upper * (1 + 1e-9)).all()
+        b = bounds.low.shape[1]
+        floors = np.minimum.accumulate(np.column_stack([bounds.low, bounds.outer])[:, ::-1], 1)[:, ::-1]
+        for place in range(b + 1):
+            behind = np.sqrt(d).copy()
+            np.put_along_axis(behind, bounds.near[:, : place + 1].astype(int), np.inf, 1)
+            assert (floors[:, place] <= behind.min(1) + 1e-6).all()
+        means = [x[own == e].mean(0) if (own == e).any() else book[e] for e in range(len(book))]
+        moved = np.floor(means).astype(np.int64)
+        move = np.sqrt(((moved - book) ** 2).sum(1))
+        book = moved
+        bounds = codes.moved(x, book, move, bounds, b)
+        saved += (bounds.used <= b).sum()
+    assert saved > 5000
+
+
+def test_large_components_are_compared_exactly():
+    x = np.array([[2**26, -(2**26)], [2**26, -(2**26) + 1]])
+    assert codes.squares(x, x).tolist() == [[0, 1], [1, 0]]
+
+
+def test_a_hot_label_is_spread(spark):
+    rows = [(i, [i / 500] * 4, 1 if i % 3 else i) for i in range(900)]
+    assert _found(_vectors(spark, rows).repartition(3), entries=4) == _plain(rows, 4)
+
+
+def test_query_over_the_whole_table(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    result = queries.op11_codes(spark, sf_dir)
+    assert result.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding", "label")
+    first = [tuple(r) for r in table.where("vec_id % 3 = 0").collect()]
+    found = sorted(map(tuple, result.collect()), key=str)
+    assert len(found) == table.count()
+    assert _found(table.where("vec_id % 3 = 0"), entries=16) == _plain(first, 16)

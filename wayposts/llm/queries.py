@@ -1,12 +1,14 @@
 """The operators over the whole test tables, and the SQL that some of them must equal."""
 
 from collections.abc import Callable
+from hashlib import sha256
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayposts.llm import (
     bpe,
+    codes,
     embeddings,
     lines,
     mixing,
@@ -101,6 +103,18 @@ def op10_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score(docs, crc_fold(F.col("doc_id"), 5) != 1)
 
 
+def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    compressed = codes.compress(table(spark, sf_dir, "embeddings"))
+    listed = ",".join(map(str, compressed.books.ravel().tolist()))
+    return codes.with_label_error(compressed.codes).select(
+        "vec_id",
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(sha256(listed.encode()).hexdigest()).alias("codebooks_sha256"),
+    )
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -123,6 +137,7 @@ def queries() -> dict[str, Query]:
         "op8_lines": op8_lines,
         "op9_packing": op9_packing,
         "op10_scoring": op10_scoring,
+        "op11_codes": op11_codes,
         "op13_bpe": op13_bpe,
     }
 
@@ -210,5 +225,51 @@ left join kept k using (doc_id)
 """
 
 
+_KEPT_VECTORS = """
+with kept as materialized (
+    select vec_id, label, row_number() over (order by vec_id nulls last, embedding) as rn,
+           list_transform(embedding, lambda x: floor(1024 * x::double)) as q
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as materialized (
+    select rn, p, list_slice(q, p * len(q) // 4 + 1, (p + 1) * len(q) // 4) as v
+    from kept, range(4) as t(p)
+), book0 as materialized (
+    select p, rn - 1 as e, v as c from parts where rn <= 256
+)"""
+
+_ASSIGNED_CODES = """, near{r} as materialized (
+    select rn, p, min({{'d': list_dot_product(v, v) - 2 * list_dot_product(v, c)
+                            + list_dot_product(c, c), 'e': e}}) as best
+    from parts join book{r} using (p) group by rn, p
+)"""
+
+_NEXT_BOOK = """, mean{r} as materialized (
+    select p, e, list(mean order by i) as c
+    from (select p, best.e as e, i, floor(sum(x) / count(*)) as mean
+          from (select rn, p, unnest(v) as x, generate_subscripts(v, 1) as i from parts)
+          join near{r} using (rn, p) group by all)
+    group by p, e
+), book{n} as materialized (
+    select p, e, coalesce(m.c, b.c) as c from book{r} b left join mean{r} m using (p, e)
+)"""
+
+_CODES = (
+    _KEPT_VECTORS
+    + "".join(_ASSIGNED_CODES.format(r=r) + _NEXT_BOOK.format(r=r, n=r + 1) for r in range(4))
+    + _ASSIGNED_CODES.format(r=4)
+    + """
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(array_to_string(list_transform(c, lambda x: x::bigint), ','), ','
+                                 order by p, e)) from book4) as codebooks_sha256
+from kept join (
+    select rn, string_agg(printf('%02x', cast(best.e as int)), '' order by p) as code,
+           cast(sum(best.d) as bigint) as error
+    from near4 group by rn) using (rn)
+"""
+)
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_mix": _MIX, "op8_lines": _LINES}
+    return {"op1_mix": _MIX, "op8_lines": _LINES, "op11_codes": _CODES}
