@@ -71,7 +71,10 @@ def test_merges_against_a_plain_scan():
             merges[chance.randrange(made), chance.randrange(made)] = (rank, made)
             made += 1
         symbols = [chance.randrange(4) for _ in range(chance.randrange(30))]
-        assert bpe.merged(symbols, merges) == _merged_plainly(symbols, merges)
+        by_rank = {rank: pair for pair, (rank, _) in merges.items()}
+        ranks = {pair: rank for pair, (rank, _) in merges.items()}
+        made_by = [merges[by_rank[r]][1] if r in by_rank else -2 for r in range(12)]
+        assert bpe.merged(symbols, ranks, made_by) == _merged_plainly(symbols, merges)
 
 
 def test_ids_that_the_file_lacks(both):

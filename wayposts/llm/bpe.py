@@ -29,6 +29,10 @@ KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 ID_TYPE = "<u4"
 
+# An entry of the queue is the rank of a pair above the place of its first symbol.
+_PLACE_BITS = 32
+_PLACES = (1 << _PLACE_BITS) - 1
+
 _UNSUPPORTED = (
     "dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges",
 )
@@ -50,9 +54,8 @@ class Vocabulary:
         self.ids: dict[str, int] = model["vocab"]
         self.end = model.get("end_of_word_suffix") or ""
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.merges = {
-            (self.ids[a], self.ids[b]): (rank, self.ids[a + b]) for rank, (a, b) in enumerate(pairs)
-        }
+        self.ranks = {(self.ids[a], self.ids[b]): rank for rank, (a, b) in enumerate(pairs)}
+        self.made = [self.ids[a + b] for a, b in pairs]
         self.added = {t["content"]: t["id"] for t in added}
         self.strings = {i: s for s, i in (self.ids | self.added).items()}
         kind = (parts.get("decoder") or {}).get("type")
@@ -66,34 +69,37 @@ class Vocabulary:
         return [self.ids[s] for s in marked if s in self.ids]
 
 
-def merged(symbols: list[int], merges: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """``symbols`` after all merges, the lowest rank first, then the leftmost."""
+def merged(symbols: list[int], ranks: dict[tuple[int, int], int], made: list[int]) -> list[int]:
+    """``symbols`` after all merges, the lowest rank first, then the leftmost.
+
+    ``ranks`` has the rank of each pair that merges, ``made`` the symbol it makes, by rank.
+    """
     size = len(symbols)
     now = list(symbols)
     before, after = list(range(-1, size - 1)), list(range(1, size + 1))
-    queue: list[tuple[int, int, int]] = []
-
-    def entry(at: int) -> tuple[int, int, int] | None:
-        found = merges.get((now[at], now[after[at]]))
-        return found and (found[0], at, found[1])
-
-    queue.extend(filter(None, map(entry, range(size - 1))))
+    # The rank at which each symbol would merge with the one after it now.
+    due: list[int | None] = [*map(ranks.get, zip(now, now[1:])), None]
+    queue = [rank << _PLACE_BITS | at for at, rank in enumerate(due) if rank is not None]
     heapify(queue)
     while queue:
-        _, at, made = heappop(queue)
-        right = after[at]
-        if now[at] < 0 or right == size:
-            continue
-        if merges.get((now[at], now[right]), (0, -1))[1] != made:
+        first = heappop(queue)
+        rank, at = first >> _PLACE_BITS, first & _PLACES
+        if due[at] != rank:
             continue
-        now[at], now[right] = made, -1
-        after[at] = after[right]
-        if after[at] < size:
-            before[after[at]] = at
-            if new := entry(at):
-                heappush(queue, new)
-        if before[at] >= 0 and (new := entry(before[at])):
-            heappush(queue, new)
+        gone = after[at]
+        now[at], now[gone], due[gone] = made[rank], -1, None
+        after[at] = right = after[gone]
+        left = before[at]
+        due[at] = None
+        if right < size:
+            before[right] = at
+            due[at] = rank = ranks.get((now[at], now[right]))
+            if rank is not None:
+                heappush(queue, rank << _PLACE_BITS | at)
+        if left >= 0:
+            due[left] = rank = ranks.get((now[left], now[at]))
+            if rank is not None:
+                heappush(queue, rank << _PLACE_BITS | left)
     return [symbol for symbol in now if symbol >= 0]
 
 
@@ -129,7 +135,8 @@ class Encoder:
         return ids
 
     def _piece(self, piece: str) -> bytes:
-        ids = merged(self.vocabulary.symbols(piece), self.vocabulary.merges)
+        known = self.vocabulary
+        ids = merged(known.symbols(piece), known.ranks, known.made)
         return self._kept(self.pieces, piece, np.array(ids, ID_TYPE).tobytes())
 
     def _plain(self, text: str) -> list[bytes]:
