@@ -17,6 +17,7 @@ from wayposts.llm import (
     quality,
     scoring,
     secrets,
+    spelling,
     tokens,
     toxicity,
 )
@@ -115,6 +116,10 @@ def op11_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = bpe.decode(bpe.encode(table(spark, sf_dir, "documents")))
     return decoded.select(
@@ -138,6 +143,7 @@ def queries() -> dict[str, Query]:
         "op9_packing": op9_packing,
         "op10_scoring": op10_scoring,
         "op11_codes": op11_codes,
+        "op12_spelling": op12_spelling,
         "op13_bpe": op13_bpe,
     }
 
