@@ -3,10 +3,13 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import wayposts as wp
 from checks import fixtures, queries
 from frames import tuples
+from wayposts.functions import bind_once, computed_once, parse_tags
+from wayposts.schema import POSTS_CSV_SCHEMA
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -129,3 +132,45 @@ def test_literal_rows_are_part_of_the_plan(spark):
 def test_plan_does_not_grow_with_the_number_of_owners(table, query):
     scans = _scans(query(table))
     assert sum("latitude" in columns for columns in scans) == 1 and len(scans) <= 3
+
+
+def _raw_posts(spark, *rows):
+    values = [[row.get(name) for name in POSTS_CSV_SCHEMA.names] for row in rows]
+    return wp.literal_frame(spark, values, POSTS_CSV_SCHEMA)
+
+
+def _references(df, column: str) -> int:
+    """How often the optimized plan of a projection refers to a column of its table."""
+    line = df._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    return len(re.findall(rf"\b{column}#\d+", line))
+
+
+def test_a_list_is_computed_once_however_many_steps_read_it(spark):
+    text = F.upper("title").alias("t")
+    once = spark.createDataFrame([("['a']",)], "title string").select(text)
+    parsed = once.select(parse_tags("t").alias("tags"))
+    assert _references(parsed, "title") == 1
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("upper(") == 1
+
+
+def test_cleaning_parses_each_list_once(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    _raw_posts(spark, dict(post_id="1", tags="['a']")).write.parquet(path)
+    cleaned = wp.clean_posts(spark.read.parquet(path))
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    try:
+        steps = cleaned._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    assert len(re.findall(r"(?i)JsonToStructs|from_json", steps)) == 1
+    filters = [s for s in steps.splitlines() if s.strip(" :+-*").startswith("Filter")]
+    assert filters and not any("cast(" in f or "RLIKE" in f for f in filters)
+
+
+def test_bound_steps_equal_written_out_steps(spark):
+    frame = wp.literal_frame(spark, [("ab",), ("",), (None,)], "t string")
+    twice = lambda t: F.when(F.length(t) > 1, F.concat(t, t)).otherwise(t)
+    bound = frame.select(bind_once(F.col("t"), twice, twice, F.length))
+    assert tuples(bound) == [(8,), (0,), (None,)]
+    kept = computed_once(frame, F.length("t").alias("n"), F.col("t")).where("n > 0")
+    assert tuples(kept) == [(2, "ab")] and kept.columns == ["n", "t"]

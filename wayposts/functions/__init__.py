@@ -1,5 +1,6 @@
 """Column functions: built from Spark's own expressions, no Python on the executors."""
 
+from wayposts.functions.binding import bind_once, computed_once
 from wayposts.functions.labels import (
     alphanumeric,
     center_text,
@@ -12,7 +13,9 @@ from wayposts.functions.tag_text import parse_tags
 
 __all__ = [
     "alphanumeric",
+    "bind_once",
     "center_text",
+    "computed_once",
     "palette_color",
     "parse_tags",
     "post_text",

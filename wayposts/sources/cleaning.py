@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wayposts.functions import parse_tags
+from wayposts.functions import computed_once, parse_tags
 from wayposts.operators.ranking import number_rows, top_per_group
 from wayposts.schema import POSTS_SCHEMA, REQUIRED_COLUMNS
 
@@ -28,21 +28,32 @@ def _whole_number(text: Column, kind: T.DataType) -> Column:
     """A whole number, however it is written: exports have 12.0 where a column has gaps."""
     plain = F.regexp_replace(text, r"\.0+$", "").try_cast(kind)
     value = text.try_cast("decimal(38,6)")
-    return F.coalesce(plain, F.when(value == F.floor(value), value.try_cast(kind)))
+    exact = F.when(value == F.floor(value), value.try_cast(kind))
+    # the later ones are computed only where those before them are null
+    return F.coalesce(text.try_cast(kind), plain, exact)
+
+
+# A date, or a date and time to the second or finer: the usual spelling of a moment.
+_PLAIN_MOMENT = r"^\d{4}-\d\d-\d\d(?:[ T]\d\d:\d\d:\d\d(?:\.\d+)?)?$"
+_ZONE = r"\d[ ]?([zZ]|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2})\s*$"
 
 
 def _moment(text: Column) -> Column:
     """A moment without zone; text that names its zone is taken to UTC."""
-    zoned = text.rlike(r"\d[ ]?([zZ]|UTC|GMT|[+-]\d{1,2}(:?\d{2}){0,2})\s*$") & text.rlike(r"\d:\d")
+    zoned = ~text.rlike(_PLAIN_MOMENT) & text.rlike(_ZONE) & text.rlike(r"\d:\d")
     micros = F.unix_micros(text.try_cast("timestamp"))
     in_utc = F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01").cast("timestamp_ntz"))
     return F.when(zoned, in_utc).otherwise(text.try_cast("timestamp_ntz"))
 
 
+def _typed_columns(raw: DataFrame) -> list[Column]:
+    given = {field.name: field.dataType for field in raw.schema}
+    return [_typed(f, given[f.name]) for f in POSTS_SCHEMA if f.name in given]
+
+
 def type_posts(raw: DataFrame) -> DataFrame:
     """Text columns cast to the types of the posts; text that does not fit becomes null."""
-    given = {field.name: field.dataType for field in raw.schema}
-    return raw.select(*[_typed(f, given[f.name]) for f in POSTS_SCHEMA if f.name in given])
+    return raw.select(*_typed_columns(raw))
 
 
 def clean_posts(raw: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> DataFrame:
@@ -52,7 +63,7 @@ def clean_posts(raw: DataFrame, required: Sequence[str] = REQUIRED_COLUMNS) -> D
     Posts that come without ids lose their exact copies and are numbered from 1 in the order
     of their content, whatever the order in which they come.
     """
-    typed = type_posts(raw)
+    typed = computed_once(raw, *_typed_columns(raw))
     complete = typed.dropna(subset=[c for c in required if c in typed.columns])
     if "post_id" not in typed.columns:
         once = complete.distinct()
