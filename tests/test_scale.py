@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import wayposts as wp
 from frames import day, posts, tuples
-from wayposts.operators import joining, ranking
+from wayposts.operators import joining, ranking, selection
 from wayposts.operators.ranking import sorted_report, top_per_group
 
 _LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -217,9 +217,9 @@ def test_numbers_of_rows(spark):
     rows = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("x"))
     numbers = ranking.number_rows(rows, "n", F.col("x").desc())
     assert numbers.where("n <> 5000 - x").count() == 0 and numbers.count() == 5000
-    assert ranking.nth_lowest(rows, "x", 1) == 0
-    assert ranking.nth_lowest(rows, "x", 4321) == 4320
-    assert ranking.nth_lowest(rows, "x", 5001) is None
+    assert selection.nth_lowest(rows, "x", 1) == 0
+    assert selection.nth_lowest(rows, "x", 4321) == 4320
+    assert selection.nth_lowest(rows, "x", 5001) is None
 
 
 def test_lists_of_any_length(skewed):

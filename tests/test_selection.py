@@ -1,0 +1,142 @@
+"""Places found by counting ranges."""
+
+import datetime as dt
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import wayposts as wp
+from frames import day, posts, tuples
+from wayposts.operators import selection
+from wayposts.operators.ranking import top_per_group
+from wayposts.operators.selection import limits, moment_number, nth_lowest, within
+
+_EDGE = [-(2**63), -(2**63) + 1, -1, 0, 1, 2**62, 2**63 - 1]
+
+
+def _frame(spark, rows):
+    return wp.literal_frame(spark, rows, "g long, a long, b long").repartition(4)
+
+
+def _check(spark, rows, n):
+    """The first n rows are kept, and at most n more unless they are all equal."""
+    frame = _frame(spark, rows)
+    groups = sorted({g for g, *_ in rows})
+    found = limits(frame, "g", ["a", "b"], groups, n)
+    kept = sorted(tuples(within(frame, "g", ["a", "b"], found)))
+    for g in groups:
+        theirs = sorted(r for r in rows if r[0] == g)
+        mine = [r for r in kept if r[0] == g]
+        assert mine[:n] == theirs[:n] and mine == theirs[: len(mine)]
+        last = theirs[min(n, len(theirs)) - 1]
+        assert len([r for r in mine if r != last]) <= 2 * n
+
+
+@pytest.mark.parametrize("n", [1, 7, 400])
+def test_the_first_rows_of_each_group_and_few_others(spark, n):
+    chance = random.Random(n)
+    rows = [(0, chance.randrange(10**6), chance.randrange(50)) for _ in range(900)]
+    rows += [(1, 5, chance.randrange(10**12)) for _ in range(900)]
+    rows += [(2, chance.choice([3, 3, 3, 9]), chance.choice([4, 4, 8])) for _ in range(900)]
+    rows += [(3, chance.randrange(-3, 3), -chance.randrange(2000)) for _ in range(60)]
+    rows += [(4, chance.choice(_EDGE), chance.choice(_EDGE)) for _ in range(100)]
+    _check(spark, rows, n)
+
+
+def test_a_value_far_from_the_others(spark):
+    rows = [(0, i % 1000, i) for i in range(3000)] + [(0, 2**62, 1), (0, -(2**62), 1)]
+    _check(spark, rows, 100)
+
+
+@pytest.mark.parametrize("values", [[], [5], _EDGE, [7] * 500, list(range(0, 90_000, 90)), [0, 2**40] * 300])
+def test_nth_lowest(spark, values):
+    frame = wp.literal_frame(spark, [(v,) for v in values], "x long").repartition(3)
+    for n in {1, 2, len(values) // 2, len(values) - 1, len(values)} - {0, -1}:
+        expected = sorted(values)[n - 1] if n <= len(values) else None
+        assert nth_lowest(frame, "x", n) == expected
+    assert nth_lowest(frame, "x", len(values) + 1) is None
+
+
+def test_few_counts_are_shuffled(spark):
+    rows = spark.range(200_000).selectExpr("id % 2 as g", "id * 7919 % 200000 as a", "id as b")
+    counted = limits(rows, "g", ["a", "b"], [0, 1], 1500)
+    kept = within(rows, "g", ["a", "b"], counted)
+    sizes = [r["count"] for r in kept.groupBy("g").count().collect()]
+    assert len(sizes) == 2 and all(1500 <= s <= 3000 for s in sizes)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_moments_as_numbers_keep_their_order(spark, zone):
+    moments = [
+        dt.datetime(1, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999), dt.datetime(1970, 1, 1),
+        dt.datetime(2024, 3, 10, 1, 59, 59), dt.datetime(2024, 3, 10, 2, 30, 0, 1),
+        dt.datetime(2024, 3, 10, 3), dt.datetime(2024, 3, 10, 3, 0, 0, 5), dt.datetime(9999, 12, 31),
+    ]
+    frame = wp.literal_frame(spark, [(m,) for m in moments], "m timestamp_ntz")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = [r[0] for r in frame.select(moment_number("m")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    start = dt.datetime(1970, 1, 1)
+    assert found == [(m - start) // dt.timedelta(microseconds=1) for m in moments]
+
+
+@pytest.fixture
+def no_group_limit(spark):
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "0")
+    yield
+    spark.conf.set(name, before)
+
+
+def test_heat_points_with_gaps_and_ties(spark, no_group_limit):
+    chance = random.Random(9)
+    rows = [
+        dict(
+            views=chance.choice([None, 1, 2, 2, chance.randrange(10**9)]),
+            latitude=float(i), longitude=0.0, accuracy=0 if i % 3 else i % 5,
+        )
+        for i in range(2000)
+    ]
+    table = posts(spark, *rows).selectExpr("*", "accuracy as prediction").repartition(6)
+    for n in (5, 700):
+        found = sorted(tuples(wp.heat_points(table, n).select("prediction", "post_id")))
+        expected = []
+        for cluster in range(5):
+            theirs = [
+                (r["views"] is not None, -(r["views"] or 0), i)
+                for i, r in enumerate(rows, 1) if r["accuracy"] == cluster
+            ]
+            expected += [(cluster, key[2]) for key in sorted(theirs)[:n]]
+        assert found == sorted(expected)
+
+
+def test_only_rows_up_to_the_place_are_sorted(spark, no_group_limit, monkeypatch):
+    sorted_rows = []
+    from wayposts.operators import ranking
+
+    plain = ranking._range_sorted
+    monkeypatch.setattr(
+        ranking, "_range_sorted", lambda df, *order: sorted_rows.append(df.count()) or plain(df, *order)
+    )
+    rows = spark.range(60_000).selectExpr("id", "id % 3 as key")
+    top = top_per_group(rows, ["key"], [F.col("id").asc()], 1500, "place", [F.col("id")])
+    assert top.count() == 4500 and top.where("id <> (place - 1) * 3 + key").count() == 0
+    assert sorted_rows and sorted_rows[0] <= 9000
+
+
+def test_points_come_as_the_table_holds_them_for_any_number(spark, monkeypatch):
+    from wayposts.operators import ranking
+
+    ids = [5, 2, 9, 1, 7, 3]
+    table = posts(spark, *[dict(post_id=i, latitude=float(i), longitude=0.0, dateTaken=day(1)) for i in ids])
+    for n in range(1, 8):
+        expected = [float(i) for i in ids if i in sorted(ids)[:n]]
+        short = [r.latitude for r in wp.map_points(table.coalesce(1), n).collect()]
+        monkeypatch.setattr(ranking, "REPORT_ROWS", -1)
+        long = [r.latitude for r in wp.map_points(table.coalesce(1), n).collect()]
+        monkeypatch.undo()
+        assert short == long == expected

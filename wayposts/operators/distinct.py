@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayposts.operators.ranking import top_per_group
+from wayposts.operators.selection import descending, moment_number
 from wayposts.schema import POSITION
 
 
@@ -13,6 +14,12 @@ def newest_first() -> list[Column]:
     return [F.col("dateTaken").desc_nulls_last(), F.col("post_id").asc()]
 
 
+def newest_first_numbers() -> list[Column]:
+    """The order of ``newest_first`` as whole numbers."""
+    taken = F.coalesce(descending(moment_number("dateTaken")), F.lit(0))
+    return [F.col("dateTaken").isNull().cast("long"), taken, F.col("post_id")]
+
+
 def distinct_positions(posts: DataFrame) -> DataFrame:
     """One post per position: the last one taken. Posts without a position are left out."""
     placed = posts.select("post_id", *POSITION, "views", "dateTaken").where(

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from wayposts.operators import selection
 from wayposts.sources.shared_folder import materialize
 
 # A sorted result of at most this many rows is merged or numbered in one task.
@@ -77,28 +78,6 @@ def numbered(report: DataFrame, name: str, rows: int, *order: Column) -> DataFra
     return number_rows(report, name, *order)
 
 
-def nth_lowest(df: DataFrame, column: str, n: int) -> int | None:
-    """The ``n``-th lowest value of a column without nulls; None if there are fewer. Runs jobs.
-
-    The column alone is dealt out by range; the counts of the ranges tell in which one the
-    value lies, and only that one is sorted to the end.
-    """
-    values = df.select(column)
-    ranges = (
-        values.repartitionByRange(shuffle_partitions(df.sparkSession), column)
-        .groupBy(F.spark_partition_id())
-        .agg(F.count(F.lit(1)).alias("n"), F.min(column).alias("low"), F.max(column).alias("high"))
-        .orderBy("low")
-        .collect()
-    )
-    for part in ranges:
-        if n <= part["n"]:
-            inside = values.where(F.col(column).between(part["low"], part["high"]))
-            return number_rows(inside, "_place", F.col(column)).where(F.col("_place") == n).first()[0]
-        n -= part["n"]
-    return None
-
-
 def _same(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     return reduce(Column.__and__, [left[k].eqNullSafe(right[f"_{k}"]) for k in keys])
 
@@ -118,25 +97,33 @@ def top_per_group(
     order: Sequence[Column],
     n: int,
     name: str | None = None,
+    numbers: Sequence[Column] = (),
 ) -> DataFrame:
     """The first ``n`` rows of each group, with their place in column ``name`` if given.
 
     Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark cuts every group to ``n``
     rows before the shuffle, so a group of any size is safe. For more rows, groups that hold
     more than a partition's share are sorted by range and numbered across the partitions; the
-    others are numbered in one task each.
+    others are numbered in one task each. Where ``numbers`` give the ``order`` as whole numbers
+    without nulls, counts of their ranges find about where each large group's place ``n`` is,
+    and only the rows up to it are moved.
     """
     spark = df.sparkSession
     place = name or "_place"
     if n <= _group_limit(spark):
         top = _cut(df, keys, order, n, place)
     else:
-        top = _top_of_large_groups(materialize(df, "grouped"), keys, order, n, place)
+        top = _top_of_large_groups(materialize(df, "grouped"), keys, order, n, place, numbers)
     return top if name else top.drop(place)
 
 
 def _top_of_large_groups(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int, place: str
+    rows: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    n: int,
+    place: str,
+    numbers: Sequence[Column],
 ) -> DataFrame:
     spark = rows.sparkSession
     sizes = rows.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
@@ -146,9 +133,10 @@ def _top_of_large_groups(
     # at most as many groups as there are partitions, so safe to broadcast
     large = F.broadcast(materialize(sizes.where(F.col("_size") > share).drop("_size"), "large-groups"))
     small = _cut(rows.join(large, _same(rows, large, keys), "left_anti"), keys, order, n, place)
-    ordered = _range_sorted(
-        rows.join(large, _same(rows, large, keys), "left_semi"), *[F.col(k) for k in keys], *order
-    )
+    theirs = rows.join(large, _same(rows, large, keys), "left_semi")
+    if numbers:
+        theirs = _up_to_place(rows, large, keys, numbers, n)
+    ordered = _range_sorted(theirs, *[F.col(k) for k in keys], *order)
     before = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("__part")
     # a large group touches more than one partition or fills one: at most twice their number
     starts = (
@@ -169,6 +157,20 @@ def _top_of_large_groups(
     return small.unionByName(top)
 
 
+def _up_to_place(
+    rows: DataFrame, large: DataFrame, keys: Sequence[str], numbers: Sequence[Column], n: int
+) -> DataFrame:
+    """The rows of the ``large`` groups among which are the first ``n`` of each, and few others."""
+    large = large.withColumn("_group", F.monotonically_increasing_id())
+    groups = [row["_group"] for row in large.select("_group").collect()]
+    columns = {f"_number{level}": number for level, number in enumerate(numbers)}
+    numbered_rows = rows.withColumns(columns)
+    marked = numbered_rows.join(F.broadcast(large), _same(numbered_rows, large, keys))
+    narrow = marked.select("_group", *columns)
+    limits = selection.limits(narrow, "_group", list(columns), groups, n)
+    return selection.within(marked, "_group", list(columns), limits).select(*rows.columns)
+
+
 def with_group_size(df: DataFrame, keys: Sequence[str], name: str, most: int) -> DataFrame:
     """``df`` with the size of each row's group, where groups have at most ``most`` rows."""
     if most <= _group_limit(df.sparkSession):

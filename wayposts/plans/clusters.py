@@ -12,6 +12,7 @@ from wayposts.arguments import whole_number
 from wayposts.functions import center_text, palette_color, prefixed
 from wayposts.operators.distinct import distinct_positions
 from wayposts.operators.ranking import top_per_group, with_group_size
+from wayposts.operators.selection import descending
 from wayposts.schema import (
     CENTER_COLOR,
     CENTER_LABEL,
@@ -131,8 +132,10 @@ def center_markers(centers: DataFrame, assignments: DataFrame) -> DataFrame:
 def _most_viewed(assignments: DataFrame, n_posts: int) -> DataFrame:
     # Positions without a view count rank first, as they do at the end of an ascending sort.
     order = [F.col("views").desc_nulls_first(), F.col("post_id").asc()]
+    views = F.coalesce(descending(F.col("views").cast("long")), F.lit(0))
+    numbers = [F.col("views").isNotNull().cast("long"), views, F.col("post_id")]
     columns = assignments.select(*_ASSIGNED)
-    return top_per_group(columns, ["prediction"], order, n_posts, name="place")
+    return top_per_group(columns, ["prediction"], order, n_posts, name="place", numbers=numbers)
 
 
 def heat_points(assignments: DataFrame, n_posts: int = 10) -> DataFrame:

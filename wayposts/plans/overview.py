@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from wayposts.arguments import whole_number
 from wayposts.operators.aggregates import global_max
 from wayposts.operators import ranking
-from wayposts.operators.ranking import nth_lowest, top_rows
+from wayposts.operators.ranking import top_rows
+from wayposts.operators.selection import nth_lowest
 from wayposts.schema import POSITION
 
 
@@ -18,22 +19,28 @@ def dataset_shape(posts: DataFrame) -> DataFrame:
 
 
 def preview_posts(posts: DataFrame, n: int = 20) -> DataFrame:
-    """The ``n`` posts with the lowest ids, all columns.
+    """The ``n`` posts with the lowest ids, all columns, in the order of the ids.
 
-    The ids are found in a scan of ``post_id`` alone. Their highest then filters the scan of
-    all columns, which skips the row groups that start above it.
+    The last of the ids is found in scans of ``post_id`` alone. It then filters the scan of all
+    columns, which skips the row groups that start above it.
     """
     n = whole_number("n", n)
+    lowest = _lowest(posts, n)
     if n > ranking.REPORT_ROWS:
-        return _lowest(posts, n).orderBy("post_id")
-    lowest = top_rows(posts.select("post_id"), n, F.col("post_id").asc())
-    cut = global_max(lowest, "post_id").scalar()
-    return top_rows(posts.where(F.col("post_id") <= cut), n, F.col("post_id").asc())
+        return lowest.orderBy("post_id")
+    return top_rows(lowest, n, F.col("post_id").asc())
 
 
 def _lowest(posts: DataFrame, n: int) -> DataFrame:
-    """The ``n`` posts with the lowest ids; the highest of these filters the scan."""
-    last = nth_lowest(posts, "post_id", n)
+    """The ``n`` posts with the lowest ids, as the table holds them.
+
+    The highest of these ids filters the scan. For a long list it is found by counting ranges
+    of ids, so no list of ids is moved.
+    """
+    if n <= ranking.REPORT_ROWS:
+        ids = top_rows(posts.select("post_id"), n, F.col("post_id").asc())
+        return posts.where(F.col("post_id") <= global_max(ids, "post_id").scalar())
+    last = nth_lowest(posts.select("post_id"), "post_id", n)
     return posts if last is None else posts.where(F.col("post_id") <= last)
 
 
@@ -42,9 +49,8 @@ def lat_lon(posts: DataFrame) -> DataFrame:
 
 
 def map_points(posts: DataFrame, n: int) -> DataFrame:
-    """The positions of the ``n`` posts with the lowest ids; in their order for a short list."""
-    n = whole_number("n", n)
-    if n > ranking.REPORT_ROWS:
-        return _lowest(posts, n).select(*POSITION)
-    columns = posts.select("post_id", *POSITION)
-    return top_rows(columns, n, F.col("post_id").asc()).select(*POSITION)
+    """The positions of the ``n`` posts with the lowest ids, as the table holds them.
+
+    The rows come in the order of a scan of the table, whatever ``n`` is; nothing is sorted.
+    """
+    return _lowest(posts, whole_number("n", n)).select(*POSITION)

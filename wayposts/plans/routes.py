@@ -5,7 +5,11 @@ from pyspark.sql import functions as F
 
 from wayposts.arguments import whole_number
 from wayposts.functions import palette_color, post_text
-from wayposts.operators.distinct import newest_first, owner_distinct_positions
+from wayposts.operators.distinct import (
+    newest_first,
+    newest_first_numbers,
+    owner_distinct_positions,
+)
 from wayposts.operators.joining import join_ranked
 from wayposts.operators.ranking import (
     numbered,
@@ -33,7 +37,9 @@ def _stops(posts: DataFrame, n_users: int, n_posts: int) -> DataFrame:
     columns = posts.select("post_id", *_ROUTE)
     theirs = join_ranked(columns, indexed, "owner", n_users).drop("num_post")
     places = owner_distinct_positions(theirs, "owner_index")
-    return top_per_group(places, ["owner"], newest_first(), n_posts, name="place")
+    return top_per_group(
+        places, ["owner"], newest_first(), n_posts, name="place", numbers=newest_first_numbers()
+    )
 
 
 def owner_route(posts: DataFrame, n_users: int = 3, n_posts: int = 10) -> DataFrame:
