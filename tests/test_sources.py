@@ -166,6 +166,18 @@ def test_repair_keeps_all_posts(spark):
     assert by_key(fixed.select("post_id", "tags")) == {1: (["new"],), 2: (None,)}
 
 
+def test_repair_with_copies_of_a_typed_post(spark):
+    table = posts(spark, dict(tags=["old"]), dict(tags=["old"]), dict(tags=["old"]))
+    schema = "post_id long, tags array<string>"
+    copies = [(1, ["a"]), (1, ["a"]), (2, None), (2, None), (None, ["x"]), (None, ["y"])]
+    fixed = wp.repair_column(table, wp.literal_frame(spark, copies, schema))
+    assert by_key(fixed.select("post_id", "tags")) == {1: (["a"],), 2: (None,), 3: (None,)}
+    for values in ([["a"], ["b"]], [["a"], None]):
+        typed = wp.literal_frame(spark, [(3, v) for v in values], schema)
+        with pytest.raises(Exception, match="post_id 3 with different tags"):
+            wp.repair_column(table, typed).collect()
+
+
 def test_load_with_typed_tags(spark):
     path = fresh_path(spark, "csv")
     _raw(spark, dict(tags="unreadable", post_id="1.0"), {}).write.csv(path, header=True)

@@ -39,8 +39,20 @@ def join_ranked(posts: DataFrame, ranked: DataFrame, key: str, rows: int) -> Dat
 def repair_column(posts: DataFrame, typed: DataFrame, column: str = "tags") -> DataFrame:
     """``posts`` with ``column`` taken from ``typed``, matched by the unique ``post_id``.
 
-    All posts are kept; one that ``typed`` lacks gets null.
+    All posts are kept; one that ``typed`` lacks gets null. A ``post_id`` that ``typed`` has
+    several times with one value counts once; with different values, a null among them, it is an
+    error when the result is computed. The check uses the shuffle of the join.
     """
     columns = posts.columns if column in posts.columns else [*posts.columns, column]
-    fixed = typed.select("post_id", column)
+    value = F.col(column)
+    counted = typed.groupBy("post_id").agg(
+        F.min(value).alias("_lowest"),
+        F.max(value).alias("_highest"),
+        F.count(value).isin(0, F.count(F.lit(1))).alias("_alike"),
+    )
+    one = F.col("_alike") & F.col("_lowest").eqNullSafe(F.col("_highest"))
+    text = F.format_string(f"the typed table has post_id %s with different {column}", F.col("post_id"))
+    fixed = counted.select(
+        "post_id", F.when(one, F.col("_lowest")).otherwise(F.raise_error(text)).alias(column)
+    )
     return posts.drop(column).join(fixed, "post_id", "left").select(*columns)

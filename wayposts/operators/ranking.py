@@ -13,6 +13,10 @@ from wayposts.sources.shared_folder import materialize
 # A sorted result of at most this many rows is merged or numbered in one task.
 REPORT_ROWS = 1_000
 
+# Fewer rows of large groups than this are sorted whole: moving them takes less time than the
+# jobs that would count how few are needed. The result is the same.
+WORTH_COUNTING = 1_000_000
+
 _LONG = 2**63 - 1
 # Bits of a row's place within its partition, in the ids that Spark counts up.
 _PLACE_BITS = 33
@@ -131,11 +135,10 @@ def _top_of_large_groups(
     )
     share = max(rows.count() // shuffle_partitions(spark), 1)
     # at most as many groups as there are partitions, so safe to broadcast
-    large = F.broadcast(materialize(sizes.where(F.col("_size") > share).drop("_size"), "large-groups"))
+    large = sizes.where(F.col("_size") > share).withColumn("_group", F.monotonically_increasing_id())
+    large = F.broadcast(materialize(large, "large-groups"))
     small = _cut(rows.join(large, _same(rows, large, keys), "left_anti"), keys, order, n, place)
-    theirs = rows.join(large, _same(rows, large, keys), "left_semi")
-    if numbers:
-        theirs = _up_to_place(rows, large, keys, numbers, n)
+    theirs = _up_to_place(rows, large, keys, numbers, n)
     ordered = _range_sorted(theirs, *[F.col(k) for k in keys], *order)
     before = Window.partitionBy(*[f"_{k}" for k in keys]).orderBy("__part")
     # a large group touches more than one partition or fills one: at most twice their number
@@ -160,14 +163,21 @@ def _top_of_large_groups(
 def _up_to_place(
     rows: DataFrame, large: DataFrame, keys: Sequence[str], numbers: Sequence[Column], n: int
 ) -> DataFrame:
-    """The rows of the ``large`` groups among which are the first ``n`` of each, and few others."""
-    large = large.withColumn("_group", F.monotonically_increasing_id())
-    groups = [row["_group"] for row in large.select("_group").collect()]
+    """The rows of the ``large`` groups among which are the first ``n`` of each.
+
+    Of groups with more than twice as many rows only few others are kept.
+    """
+    sizes = {row["_group"]: row["_size"] for row in large.select("_group", "_size").collect()}
+    longer = [group for group, size in sizes.items() if size > 2 * n]
+    spared = sum(sizes[group] - n for group in longer)
+    if not numbers or not longer or not n or spared < WORTH_COUNTING:
+        return rows.join(large, _same(rows, large, keys), "left_semi")
     columns = {f"_number{level}": number for level, number in enumerate(numbers)}
     numbered_rows = rows.withColumns(columns)
-    marked = numbered_rows.join(F.broadcast(large), _same(numbered_rows, large, keys))
+    marked = numbered_rows.join(large, _same(numbered_rows, large, keys))
     narrow = marked.select("_group", *columns)
-    limits = selection.limits(narrow, "_group", list(columns), groups, n)
+    limits = selection.limits(narrow, "_group", list(columns), longer, n)
+    limits |= {group: [] for group in sizes if group not in limits}
     return selection.within(marked, "_group", list(columns), limits).select(*rows.columns)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from wayposts.sources.tables import literal_frame
 
-RANGES = 256
+RANGES = 1024
 
 
 def descending(number: Column) -> Column:
@@ -76,76 +76,91 @@ Limits = dict[int, list[int]]
 
 
 def _narrowed(
-    rows: DataFrame, group: str, number: str, places: dict[int, int], spare: int
+    rows: DataFrame, group: str, number: str, ranges: dict[int, tuple[int, int, int]], spare: int
 ) -> dict[int, tuple[int, int | None]]:
-    """Per group, a value up to which there are ``places`` rows and at most ``spare`` more, and
-    None; or a value whose equals hold the place, and the place among them. Groups with fewer
-    rows are left out."""
+    """Per group, a value up to which there are the wanted rows and at most ``spare`` more, and
+    None; or a value whose equals hold the wanted place, and the place among them.
+
+    ``ranges`` give the lowest and highest value and the place, at most that of the last row.
+    """
     spark = rows.sparkSession
-    bounds = rows.groupBy(group).agg(F.min(number), F.max(number)).collect()
-    ranges = {g: (low, high, places[g]) for g, low, high in bounds}
     found: dict[int, tuple[int, int | None]] = {}
     while ranges:
-        listed = [(g, low, high, (high - low) // RANGES + 1) for g, (low, high, _) in ranges.items()]
-        frame = F.broadcast(
-            literal_frame(spark, listed, f"{group} long, low long, high long, width long")
+        listed = [
+            (g, low, high, (high - low) // RANGES + 1, n) for g, (low, high, n) in ranges.items()
+        ]
+        frame = literal_frame(
+            spark, listed, f"{group} long, low long, high long, width long, place long"
         )
-        wanted = literal_frame(
-            spark, [(g, n) for g, (*_, n) in ranges.items()], f"{group} long, place long"
-        )
-        widest = max(high - low for _, low, high, _ in listed)
+        widest = max(high - low for _, low, high, *_ in listed)
         part = _part(F.col(number), F.col("low"), F.col("width"), widest).alias("part")
         counts = (
             rows.select(group, number)
-            .join(frame, group)
+            .join(F.broadcast(frame), group)
             .where(F.col(number).between(F.col("low"), F.col("high")))
-            .groupBy(group, part)
+            .groupBy(group, "place", part)
             .agg(F.count(F.lit(1)).alias("inside"))
         )
         before = Window.partitionBy(group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        until = F.col("before") + F.col("inside")
         # one row per group
         holding = (
             counts.withColumn("before", F.coalesce(F.sum("inside").over(before), F.lit(0)))
-            .join(F.broadcast(wanted), group)
-            .where((F.col("before") < F.col("place")) & (F.col("place") <= F.col("before") + F.col("inside")))
+            .where((F.col("before") < F.col("place")) & (F.col("place") <= until))
             .select(group, "part", "before", "inside")
             .collect()
         )
         following = {}
         for g, place, earlier, inside in holding:
             low, high = _next_range(*ranges[g][:2], place)
+            wanted = ranges[g][2] - earlier
             if inside <= spare:
                 found[g] = (high, None)
             elif low == high:
-                found[g] = (high, ranges[g][2] - earlier)
+                found[g] = (high, wanted)
             else:
-                following[g] = (low, high, ranges[g][2] - earlier)
+                following[g] = (low, high, wanted)
         ranges = following
     return found
 
 
+def _bounds(rows: DataFrame, group: str, numbers: Sequence[str]) -> dict[int, list[int]]:
+    """Per group, the lowest and the highest of each number."""
+    found = [extreme(number) for number in numbers for extreme in (F.min, F.max)]
+    return {g: values for g, *values in rows.groupBy(group).agg(*found).collect()}
+
+
 def limits(
     rows: DataFrame, group: str, numbers: Sequence[str], groups: Sequence[int], n: int
 ) -> Limits:
     """Per group, the limits that its first ``n`` rows keep, and at most ``n`` others, unless more
-    are equal in all ``numbers``.
+    are equal in all ``numbers``. Each of the ``groups`` has ``n`` rows or more.
 
     The order is that of the columns ``numbers``, whole numbers without nulls. Runs jobs. The
     number of ``groups`` must be small: their ranges pass through the driver.
     """
     made: Limits = {g: [] for g in groups}
     places = {g: n for g in groups}
+    bounds = _bounds(rows.where(F.col(group).isin(list(groups))), group, numbers)
     for level, number in enumerate(numbers):
-        if not places:
-            break
+        ranges = {}
+        for g, place in places.items():
+            low, high = bounds[g][2 * level : 2 * level + 2]
+            if low == high:
+                made[g].append(low)
+            else:
+                ranges[g] = (low, high, place)
+        if not ranges:
+            continue
         inside = rows
         if level:
-            inside = within(rows, group, numbers[:level], {g: made[g] for g in places}, equal=True)
-        found = _narrowed(inside, group, number, places, n)
-        places = {}
-        for g, (value, place) in found.items():
+            agreeing = {g: made[g] for g in ranges}
+            inside = within(rows, group, numbers[:level], agreeing, equal=True)
+        for g, (value, place) in _narrowed(inside, group, number, ranges, n).items():
             made[g].append(value)
-            if place is not None:
+            if place is None:
+                del places[g]
+            else:
                 places[g] = place
     return made
 
