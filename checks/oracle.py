@@ -351,6 +351,12 @@ def oracle_sql() -> dict[str, str]:
             """select count(distinct owner) + max(case when owner is null then 1 else 0 end)
                  as owners from posts"""
         ),
+        "owner_sketch_months": _posts(
+            """select strftime(datePosted, '%Y-%m') as month,
+                      count(distinct owner) + max(case when owner is null then 1 else 0 end) as owners,
+                      true as near
+               from posts group by 1"""
+        ),
         "distinct_owner_values": _posts("select distinct owner from posts"),
         "owner_posts": _posts(
             f"""select post_id, owner, views, {_list()} as tags, {_moments("datePosted")}

@@ -14,6 +14,7 @@ import wayposts as wp
 from checks import fixtures
 from wayposts.functions import alphanumeric, parse_tags
 from wayposts.schema import POSITION
+from wayposts.sources.shared_folder import materialize
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -106,6 +107,23 @@ _on(
     ),
 )
 
+# Sketches: the estimates must lie within three standard errors of the exact numbers.
+def _sketched_months(posts: DataFrame) -> DataFrame:
+    month = F.date_format("day", "yyyy-MM")
+    days = materialize(wp.owner_sketches(posts, day=F.to_date("datePosted")), "owner-sketches")
+    exact = posts.groupBy(F.date_format(F.to_date("datePosted"), "yyyy-MM").alias("month")).agg(
+        (F.count_distinct("owner") + F.max(F.col("owner").isNull().cast("long"))).alias("exact")
+    )
+    near = F.abs(F.col("owners") - F.col("exact")) <= F.col("exact") * 0.05 + 1
+    return (
+        wp.united_owners(days, month=month)
+        .join(exact, "month")
+        .select("month", F.col("exact").alias("owners"), near.alias("near"))
+    )
+
+
+_on(fixtures.posts_from_events, owner_sketch_months=_sketched_months)
+
 # Tags
 _on(
     fixtures.posts_from_events,

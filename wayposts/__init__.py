@@ -18,6 +18,7 @@ from wayposts.operators.distinct import (
     union_posts,
 )
 from wayposts.operators.joining import repair_column
+from wayposts.operators.sketches import owner_sketches, united_owners
 from wayposts.plans.charts import owner_chart_data, tag_chart_data
 from wayposts.plans.clusters import (
     KMeansResult,
