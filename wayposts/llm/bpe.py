@@ -17,6 +17,7 @@ import os
 import re
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
+from struct import pack
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -24,10 +25,13 @@ from pyspark.sql.types import DataType
 
 from wayposts.llm.arrow import WORD, map_batches
 
-# Encoded words, and pieces of words, that a task keeps, and the longest that it keeps; beyond this it starts afresh.
+# Encoded words, and pieces of words, that a task keeps from batch to batch, and the longest that
+# it keeps; beyond this it starts afresh.
 KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 ID_TYPE = "<u4"
+# New words that are cut in one go.
+_TOGETHER = 1000
 
 # An entry of the queue is the rank of a pair above the place of its first symbol.
 _PLACE_BITS = 32
@@ -75,31 +79,33 @@ def merged(symbols: list[int], ranks: dict[tuple[int, int], int], made: list[int
     ``ranks`` has the rank of each pair that merges, ``made`` the symbol it makes, by rank.
     """
     size = len(symbols)
+    rank_of, bits, places = ranks.get, _PLACE_BITS, _PLACES
     now = list(symbols)
     before, after = list(range(-1, size - 1)), list(range(1, size + 1))
     # The rank at which each symbol would merge with the one after it now.
-    due: list[int | None] = [*map(ranks.get, zip(now, now[1:])), None]
-    queue = [rank << _PLACE_BITS | at for at, rank in enumerate(due) if rank is not None]
+    due: list[int | None] = [*map(rank_of, zip(now, now[1:])), None]
+    queue = [rank << bits | at for at, rank in enumerate(due) if rank is not None]
     heapify(queue)
     while queue:
         first = heappop(queue)
-        rank, at = first >> _PLACE_BITS, first & _PLACES
+        rank, at = first >> bits, first & places
         if due[at] != rank:
             continue
         gone = after[at]
-        now[at], now[gone], due[gone] = made[rank], -1, None
+        now[at] = symbol = made[rank]
+        now[gone], due[gone], due[at] = -1, None, None
         after[at] = right = after[gone]
         left = before[at]
-        due[at] = None
         if right < size:
             before[right] = at
-            due[at] = rank = ranks.get((now[at], now[right]))
+            rank = rank_of((symbol, now[right]))
             if rank is not None:
-                heappush(queue, rank << _PLACE_BITS | at)
+                due[at] = rank
+                heappush(queue, rank << bits | at)
         if left >= 0:
-            due[left] = rank = ranks.get((now[left], now[at]))
+            due[left] = rank = rank_of((now[left], symbol))
             if rank is not None:
-                heappush(queue, rank << _PLACE_BITS | left)
+                heappush(queue, rank << bits | left)
     return [symbol for symbol in now if symbol >= 0]
 
 
@@ -116,7 +122,11 @@ class Encoder:
         # Where white space is dropped, it parts words for good, and each is encoded once.
         self.by_word = not self._cut(" ") and len(self._cut("a \t\nb")) == 2
         added = sorted(self.vocabulary.added, key=len, reverse=True)
-        self.added = re.compile("|".join(f"({re.escape(t)})" for t in added)) if added else None
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
+        # Words that may be cut in one text with others: those without white space or added tokens.
+        self.alone = re.compile("|".join([r"\s", *map(re.escape, added)]))
+        sample = ["Ab", "é1", "x's", "!?", "ß"]
+        self.together = self._cut(" ".join(sample)) == [p for word in sample for p in self._cut(word)]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -127,17 +137,13 @@ class Encoder:
             return [text] if text else []
         return [word for word, _ in self.cutter.pre_tokenize_str(text)]
 
-    def _kept(self, known: dict[str, bytes], text: str, ids: bytes) -> bytes:
-        if len(text) <= KEPT_LENGTH:
-            if len(known) >= KEPT_WORDS:
-                known.clear()
-            known[text] = ids
-        return ids
-
     def _piece(self, piece: str) -> bytes:
         known = self.vocabulary
         ids = merged(known.symbols(piece), known.ranks, known.made)
-        return self._kept(self.pieces, piece, np.array(ids, ID_TYPE).tobytes())
+        packed = pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= KEPT_LENGTH:
+            self.pieces[piece] = packed
+        return packed
 
     def _plain(self, text: str) -> list[bytes]:
         known, learn = self.pieces.get, self._piece
@@ -148,14 +154,50 @@ class Encoder:
         start = 0
         for token in self.added.finditer(word) if self.added else ():
             found += self._plain(word[start : token.start()])
-            found.append(np.array([self.vocabulary.added[token.group()]], ID_TYPE).tobytes())
+            found.append(pack("<I", self.vocabulary.added[token.group()]))
             start = token.end()
-        return self._kept(self.words, word, b"".join(found + self._plain(word[start:])))
+        packed = b"".join(found + self._plain(word[start:]))
+        if len(word) <= KEPT_LENGTH:
+            self.words[word] = packed
+        return packed
+
+    def _learn(self, words: list[str]) -> None:
+        """Cuts words in one go, and tells their pieces apart by their places; leaves the words out
+        where their number changes."""
+        whole = self.normalizer.normalize_str(" ".join(words)) if self.normalizer else " ".join(words)
+        parts = whole.split(" ")
+        if len(parts) != len(words):
+            return
+        cut = self.cutter.pre_tokenize_str(whole)
+        known, learn = self.pieces.get, self._piece
+        at = end = 0
+        for word, part in zip(words, parts):
+            end += len(part) + 1
+            found = []
+            while at < len(cut) and cut[at][1][0] < end:
+                piece = cut[at][0]
+                found.append(known(piece) or learn(piece))
+                at += 1
+            self.words[word] = b"".join(found)
 
     def encode(self, text: str | None) -> bytes:
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        listed = [WORD.findall(text or "") if self.by_word else [text or ""] for text in texts]
+        if self.by_word and self.together:
+            alone = self.alone.search
+            fresh = set().union(*listed).difference(self.words)
+            plain = [word for word in fresh if len(word) <= KEPT_LENGTH and not alone(word)]
+            for at in range(0, len(plain), _TOGETHER):
+                self._learn(plain[at : at + _TOGETHER])
         known, learn = self.words.get, self._word
-        words = WORD.findall(text or "") if self.by_word else [text or ""]
-        return b"".join([known(word) or learn(word) for word in words])
+        ids = [b"".join([known(word) or learn(word) for word in words]) for words in listed]
+        # between batches only, as the words of a batch were learned for it
+        for kept in (self.words, self.pieces):
+            if len(kept) > KEPT_WORDS:
+                kept.clear()
+        return ids
 
 
 def _byte_of() -> dict[str, int]:
@@ -215,7 +257,7 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
         encoder = Encoder(_path(tokenizer_path))
 
         def work(batch: dict) -> dict:
-            ids = [encoder.encode(text) for text in batch["text"]]
+            ids = encoder.encode_all(batch["text"])
             return {"doc_id": batch["doc_id"], "n_tokens": [len(i) // 4 for i in ids], "ids": ids}
 
         return work
