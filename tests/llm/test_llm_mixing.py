@@ -103,6 +103,33 @@ def test_mixed_documents_come_as_often_as_they_are_taken(spark, rows):
     assert mixed.where("label <> 'kept'").count() == 0
 
 
+def test_rows_that_differ_only_in_the_place_of_a_null(spark):
+    rows = [(1, "a b c", None, "en"), (1, "a b c", "en", None), (1, "a b c", None, "en")]
+    docs = literal_frame(spark, rows, "doc_id long, text string, source string, lang string")
+    # all are taken once or more, as two sources of unlike size share the words by weight
+    copies = {}
+    for r in mixing.mixed_documents(docs).collect():
+        copies[r["source"], r["lang"]] = copies.get((r["source"], r["lang"]), 0) + 1
+    taken = {}
+    for r in mixing.mix(docs.withColumn("s", F.col("source")), (1, 2, 3), 3, 1024, "s").collect():
+        taken[r["s"]] = taken.get(r["s"], 0) + math.floor(r["taken"] / 3 + 0.5)
+    assert copies == {("en", None): taken["en"], (None, "en"): taken[None]}
+    assert copies.keys() == {(None, "en"), ("en", None)}
+
+
+def test_mixed_documents_come_in_slot_order(spark):
+    chance = random.Random(9)
+    rows = [(i, " ".join(some_words(chance, 200)), "abc"[i * i % 3]) for i in range(900)]
+    docs = documents(spark, rows)
+    mixed = [r["source"] for r in mixing.mixed_documents(docs).collect()]
+    target = {r["source"]: r["target"] for r in mixing.source_targets(
+        docs.groupBy("source").agg(F.sum(mixing.n_words(F.col("text"))).alias("source_size"))).collect()}
+    total = sum(target.values())
+    for until in range(90, len(mixed), 90):
+        for source, words in target.items():
+            assert abs(mixed[:until].count(source) - until * words / total) <= 16
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (2, " ")]])
 def test_nothing_to_mix(spark, rows):
     found = mixing.mix(documents(spark, rows)).collect()

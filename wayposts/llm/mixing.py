@@ -4,14 +4,16 @@ The words of each source, its documents in shuffled order, form an axis that is
 often as its target asks, cut into blocks of equally many words. Slot ``i`` of the schedule is
 the fractional part of ``i`` times the golden ratio, looked up in the cumulative targets; the
 ``r``-th slot of a source takes its ``r``-th block. Any stretch of the schedule therefore holds
-the sources in nearly their target shares.
+the sources in nearly their target shares, and the mixed documents come in the order of the
+slots that hold their first words.
 
 All of it is DataFrame operations. Numbering and prefix sums go over fixed-size buckets and the
 totals of the buckets, so that a source that holds most rows is spread over many tasks.
 
 Defined cases: a null text has no words; a null source is a source of its own, last in order;
-documents without words are never taken; rows that are equal are separate documents; an empty
-table gives an empty result. Other columns of the input are not read.
+documents without words are never taken; rows that are equal are separate documents, and rows
+that differ only in where a null stands are too, as rows are numbered before they are mixed; an
+empty table gives an empty result. Other columns of the input are not read, but carried along.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -90,14 +92,15 @@ def point(slot: Column) -> Column:
 def schedule(targets: DataFrame, total: int, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The slots of the mix: ``slot``, ``sid`` and ``rank`` of the slot among those of its source.
 
-    A source whose stretch is a slot or two short of its target gets them at the end.
+    A source whose stretch is a slot or two short of its target gets them after the others.
     """
     spark = targets.sparkSession
     cell = lambda at: F.least(F.floor(at / total * _CELLS), F.lit(_CELLS - 1))
     stretches = targets.where("target > 0").select(
         "sid", "low", "high", F.explode(F.sequence(cell(F.col("low")), cell(F.col("high")))).alias("cell")
     )
-    slots = spark.range(-(-total // block_words)).select(
+    n_slots = -(-total // block_words)
+    slots = spark.range(n_slots).select(
         F.col("id").alias("slot"), point(F.col("id") + 1).alias("_point")
     )
     at = F.col("_point") / (1 << _BITS) * total
@@ -121,12 +124,12 @@ def schedule(targets: DataFrame, total: int, block_words: int = BLOCK_WORDS) ->
     short = needed.join(have, "sid", "left").select(
         "sid", "_needed", F.coalesce("_have", F.lit(0)).alias("_have")
     )
+    # the window holds a few rows per source
     last = short.where("_have < _needed").select(
-        F.lit(None).cast("long").alias("slot"),
-        "sid",
-        F.explode(F.sequence(F.col("_have"), F.col("_needed") - 1)).alias("rank"),
+        "sid", F.explode(F.sequence(F.col("_have"), F.col("_needed") - 1)).alias("rank")
     )
-    return ranked.unionByName(last)
+    after = F.row_number().over(Window.orderBy("rank", "sid")) + (n_slots - 1)
+    return ranked.unionByName(last.withColumn("slot", after.cast("long")))
 
 
 def blocks(
@@ -136,8 +139,8 @@ def blocks(
 
     ``sized`` has ``source``, ``doc_id``, ``size`` and ``order``, a text that shuffles. Returns
     its columns and ``sid``, ``source_size``, ``target``, ``start`` (the document's place on the
-    axis), ``rank`` (of the block) and ``words`` (of the document in it); a document beyond the
-    target gives one row with a null ``rank``.
+    axis), ``pass`` (the repetition of the axis, from 0), ``rank`` (of the block) and ``words`` (of
+    the document in it); a document beyond the target gives one row with a null ``rank``.
     """
     placed = sized.join(
         targets.select(F.col("source").alias("_source"), "sid", "source_size", "target"),
@@ -160,8 +163,8 @@ def blocks(
     taken = F.round("target").cast("long")
     passes = F.ceil(taken / F.greatest("source_size", F.lit(1)))
     unrolled = axis.withColumn(
-        "_pass", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(passes - 1, F.lit(0))))
-    ).withColumn("_at", F.col("_pass") * F.col("source_size") + F.col("start"))
+        "pass", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(passes - 1, F.lit(0))))
+    ).withColumn("_at", F.col("pass") * F.col("source_size") + F.col("start"))
     unrolled = unrolled.withColumn("_end", F.least(F.col("_at") + F.col("size"), taken))
     covered = F.when(
         F.col("_end") > F.col("_at"),
@@ -179,6 +182,7 @@ def blocks(
         "source_size",
         "target",
         "start",
+        "pass",
         "rank",
         F.when(F.col("rank").isNotNull(), in_block).alias("words"),
     )
@@ -194,7 +198,8 @@ def mix(
     """Per document the words that the mix takes of it, repeats counted.
 
     Columns: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``first_slot`` (the
-    schedule's first slot that holds a word of it) and the ``carried`` columns.
+    schedule's first slot that holds a word of it), ``slots`` (its first slot in each repetition
+    that takes it, null in others) and the ``carried`` columns.
     """
     spark = docs.sparkSession
     order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -218,6 +223,9 @@ def mix(
         .agg(
             F.coalesce(F.sum(F.when(F.col("_dealt"), F.col("words"))), F.lit(0)).alias("taken"),
             F.min("slot").alias("first_slot"),
+            F.array(
+                *[F.min(F.when(F.col("pass") == p, F.col("slot"))) for p in range(most_repeats)]
+            ).alias("slots"),
         )
         .drop("sid", "start")
     )
@@ -226,22 +234,25 @@ def mix(
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, whole: words taken over size, rounded.
 
-    Has the columns of ``docs``. Documents taken for less than half go.
+    Has the columns of ``docs``. Documents taken for less than half go; the others come in the
+    order of the schedule, each copy at its first slot, so that any stretch of the result has
+    nearly the target shares.
     """
-    signature = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    marked = docs.withColumn("_mix_row", signature)
-    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5)
+    # written with their numbers, so that these are the same in both reads
+    marked = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
+    copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int")
     plan = (
         mix(marked, WEIGHTS, MOST_REPEATS, BLOCK_WORDS, "_mix_row")
-        .groupBy("_mix_row")
-        .agg(F.sum(copies).alias("_mix_copies"))
+        .select(F.col("_mix_row").alias("_mix_of"), "slots", "first_slot", copies.alias("_mix_copies"))
         .where("_mix_copies > 0")
     )
-    once = marked.groupBy("_mix_row").agg(
-        F.first(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("_mix_doc")
+    slot = F.coalesce(F.get("slots", F.col("_mix_copy") - 1), F.col("first_slot"))
+    dealt = (
+        plan.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
+        .select("_mix_of", "_mix_copy", slot.alias("_mix_slot"))
     )
     return (
-        once.join(plan, "_mix_row")
-        .withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies").cast("int"))))
-        .select("_mix_doc.*")
+        marked.join(dealt, F.col("_mix_row") == F.col("_mix_of"))
+        .orderBy("_mix_slot", "_mix_row", "_mix_copy")
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

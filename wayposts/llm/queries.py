@@ -31,7 +31,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).drop("first_slot")
+    return mixing.mix(table(spark, sf_dir, "documents")).drop("slots")
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,22 +169,54 @@ with sized as (
            onward as (order by 3 * source_size / weight, source nulls last
                       rows between current row and unbounded following)
 ), targets as (
-    select source, source_size,
+    select source, source_size, row_number() over (order by source nulls last) as sid,
            case when 3 * source_size / weight <= level then (3 * source_size)::double
                 else max(case when 3 * source_size / weight > level then level end) over ()
                      * weight end as target
     from levels
 ), axis as (
-    select sized.*, source_size, target, cast(round(target) as bigint) as words,
+    select sized.*, sid, source_size, target, cast(round(target) as bigint) as words,
            cast(sum(size) over (partition by sized.source order by shuffled, doc_id, size
                 rows unbounded preceding) as bigint) - size as start
     from sized join targets on sized.source is not distinct from targets.source
+), stretches as (
+    select *, high - target as low, ceil(round(target) / 1024)::bigint as needed
+    from (select *, sum(target) over (order by sid rows unbounded preceding) as high from targets)
+    where target > 0
+), points as (
+    select slot, (slot + 1)::hugeint * {mixing._GOLDEN} % {2**mixing._BITS}::hugeint as point, total
+    from (select sum(source_size)::bigint as total, unnest(range((sum(source_size)::bigint + 1023) // 1024)) as slot
+          from sources)
+), dealt as (
+    select slot, sid, row_number() over (partition by sid order by slot) - 1 as rank
+    from points join stretches
+      on point / {2**mixing._BITS}::double * total >= low and point / {2**mixing._BITS}::double * total < high
+), missing as (
+    select sid, unnest(range(have, needed)) as rank
+    from (select sid, any_value(needed) as needed, count(slot) as have
+          from stretches left join dealt using (sid) group by sid)
+), slots as (
+    select slot, sid, rank from dealt
+    union all
+    select (select count(*) from points) - 1 + row_number() over (order by rank, sid), sid, rank
+    from missing
+), blocks as (
+    select doc_id, size, source, shuffled, start,
+           unnest(range((pass * source_size + start) // 1024,
+                        (least(pass * source_size + start + size, words) - 1) // 1024 + 1)) as rank, sid
+    from axis, range(3) as t(pass)
+    where size > 0 and pass * source_size + start < words
+), firsts as (
+    select sid, start, doc_id, min(slot) as first_slot
+    from blocks join slots using (sid, rank) group by all
 )
-select doc_id, cast(size as bigint) as size, source_size, target,
+select axis.doc_id, cast(size as bigint) as size, source_size, target,
        cast(case when size = 0 then 0
             else (words // source_size) * size
-                 + greatest(0, least(size, words % source_size - start)) end as bigint) as taken
-from axis
+                 + greatest(0, least(size, words % source_size - axis.start)) end as bigint) as taken,
+       case when size > 0 then first_slot end as first_slot
+from axis left join firsts
+  on axis.sid = firsts.sid and axis.start = firsts.start and axis.doc_id is not distinct from firsts.doc_id
 """
 
 _LINES = r"""
