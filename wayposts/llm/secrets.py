@@ -97,6 +97,26 @@ def _worst_range(pieces: list[tuple[int, int, float]]) -> tuple[int, int] | None
     return best
 
 
+def meeting(spans: list[Span]) -> Callable[[int, int], list[Span]]:
+    """A function that gives those of ``spans`` which overlap a range. The ranges must come in
+    order and not overlap each other; each span is then looked at as often as it is met, and
+    twice."""
+    waiting = iter(sorted(spans, key=lambda s: s[1]))
+    coming = next(waiting, None)
+    met: list[Span] = []
+
+    def met_by(start: int, end: int) -> list[Span]:
+        nonlocal coming, met
+        met = [s for s in met if start < s[2]]
+        while coming and coming[1] < end:
+            if start < coming[2]:
+                met.append(coming)
+            coming = next(waiting, None)
+        return list(met)
+
+    return met_by
+
+
 def random_parts(
     text: str, start: int, end: int, count: Callable[[str], int], taken: list[Span]
 ) -> list[tuple[int, int]]:
@@ -105,12 +125,12 @@ def random_parts(
     Separators count as characters without tokens, and so do identifiers and numbers; pieces
     that are digests or overlap a span in ``taken`` are in no range.
     """
-    closed = [(s, e) for _, s, e in taken] + [m.span() for m in UUID_PART.finditer(text, start, end)]
+    closed = meeting(taken + [("uuid", *m.span()) for m in UUID_PART.finditer(text, start, end)])
     groups: list[list[tuple[int, int, float]]] = [[]]
     for m in PIECE.finditer(text, start, end):
         s, e = m.span()
         readable = IDENTIFIER.fullmatch(m[0])
-        if any(s < b and a < e for a, b in closed) or (not readable and is_known(m[0])):
+        if closed(s, e) or (not readable and is_known(m[0])):
             groups.append([])
         else:
             score = 0.0 if readable else MOST_CHARS_A_TOKEN * count(m[0])
@@ -128,11 +148,12 @@ def random_parts(
 def token_spans(text: str, count: Callable[[str], int], taken: list[Span]) -> list[Span]:
     """Random-looking strings that overlap no span in ``taken``; ``count`` counts tokens."""
     spans = []
+    met_by = meeting(taken)
     for m in CANDIDATE.finditer(text):
         found, (start, end) = m[0], m.span()
         if is_known(found):
             continue
-        over = [t for t in taken if start < t[2] and t[1] < end]
+        over = met_by(start, end)
         if not over and len(found) <= MOST_CHARS_A_TOKEN * count(found):
             spans.append(("token", start, end))
         else:
