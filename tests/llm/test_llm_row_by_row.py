@@ -221,3 +221,102 @@ def test_toxicity_is_learned_from_labels(spark):
     assert toxicity.fit(docs, literal_frame(spark, [(1, 0)], "doc_id long, toxic int")) is None
     assert toxicity.score(docs, None).agg(F.max("score")).first()[0] == 0
     assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+def test_cues_far_into_a_text_are_learned(spark):
+    chance = random.Random(4)
+    rows, labels = [], []
+    for i in range(80):
+        words = some_words(chance, 1400, "bcdfghjk")
+        if i % 2:
+            for at in chance.sample(range(1100, 1400), 8):
+                words[at] = "vileness"
+        rows.append((i, " ".join(words)))
+        labels.append((i, i % 2))
+    model = toxicity.fit(documents(spark, rows), literal_frame(spark, labels, "doc_id long, toxic int"))
+    number = toxicity.Observer(model.cues)(["vileness"])[0]
+    assert number and model.field.emit[number] > 1
+    plain, late = some_words(chance, 1400, "bcdfghjk"), some_words(chance, 1400, "bcdfghjk")
+    late[1390] = late[1300] = late[1200] = late[1250] = "vileness"
+    asked = documents(spark, [(1, " ".join(plain)), (2, " ".join(late))])
+    low, high = [r["score"] for r in toxicity.score(asked, model).orderBy("doc_id").collect()]
+    assert low < 0.5 < high
+
+
+def test_windows_cover_whole_texts_and_every_cue(spark):
+    cues = [(f"=cue{k}", 3.0) for k in range(20)]
+    rows = []
+    for i in range(20):
+        words = ["plain"] * 3000
+        words[2900] = f"cue{i}"
+        rows.append((i, " ".join(words), 1))
+    docs = literal_frame(spark, rows, "doc_id long, text string, toxic int")
+    found = toxicity.field_windows(docs, cues, most=10)
+    assert {n for seen, _ in found for n in seen if n} == set(range(1, 21))
+    assert len(found) <= 30 and all(len(seen) <= toxicity.WINDOW_WORDS for seen, _ in found)
+    everything = toxicity.field_windows(docs, cues, most=10_000)
+    assert sum(len(seen) for seen, _ in everything) <= 20 * 3000
+    assert {toxic for _, toxic in everything} == {1}
+
+
+def _plain_token_spans(text, count, taken):
+    """The token test with every span asked about every piece."""
+    spans = []
+    for m in secrets.CANDIDATE.finditer(text):
+        if secrets.is_known(m[0]):
+            continue
+        over = [t for t in taken if m.start() < t[2] and t[1] < m.end()]
+        if not over and len(m[0]) <= secrets.MOST_CHARS_A_TOKEN * count(m[0]):
+            spans.append(("token", *m.span()))
+            continue
+        closed = [t[1:] for t in over]
+        closed += [u.span() for u in secrets.UUID_PART.finditer(text, *m.span())]
+        groups = [[]]
+        for p in secrets.PIECE.finditer(text, *m.span()):
+            readable = secrets.IDENTIFIER.fullmatch(p[0])
+            if any(p.start() < e and s < p.end() for s, e in closed) or (
+                not readable and secrets.is_known(p[0])
+            ):
+                groups.append([])
+            else:
+                score = 0.0 if readable else secrets.MOST_CHARS_A_TOKEN * count(p[0])
+                groups[-1].append((*p.span(), score - len(p[0])))
+        found = []
+        while groups:
+            group = groups.pop()
+            if worst := secrets._worst_range(group):
+                found.append((group[worst[0]][0], group[worst[1]][1]))
+                groups += [group[: worst[0]], group[worst[1] + 1 :]]
+        spans += [("token", *part) for part in sorted(found)]
+    return spans
+
+
+def test_token_spans_beside_base_spans():
+    import public_tokenizers
+
+    count = secrets.token_counter(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    chance = random.Random(12)
+    for _ in range(300):
+        parts = []
+        for _ in range(chance.randrange(1, 25)):
+            random_text = "".join(chance.choices("abcXYZ0189qQ", k=chance.randrange(4, 40)))
+            hexes = "".join(chance.choices("0123456789abcdef", k=chance.randrange(20, 45)))
+            parts.append(chance.choice([
+                random_text, hexes, "production", "token=" + random_text, "AKIA" + random_text.upper(),
+                "123e4567-e89b-42d3-a456-426614174000",
+            ]) + chance.choice([" ", "_", "-", "/", "="]))
+        text = "".join(parts)
+        base = secrets.base_spans(text)
+        assert secrets.token_spans(text, count, base) == _plain_token_spans(text, count, base)
+
+
+def test_many_base_spans_in_one_text_take_linear_time():
+    import time
+
+    digest = hashlib.sha1(b"x").hexdigest()
+    lines = "\n".join(f"{digest}_pkg-release-linux-{n}" for n in range(50_000))
+    base = secrets.base_spans(lines)
+    assert len(base) == 50_000
+    started = time.process_time()
+    secrets.token_spans(lines, len, base)
+    assert time.process_time() - started < 15

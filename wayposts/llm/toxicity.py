@@ -8,26 +8,37 @@ their sum, mean and largest value gives the score of a document, and words above
 the offending spans. Labels decide about cues, field and regression only; id, language and
 source are never looked at.
 
+The cues are counted in all labelled texts. The field learns from windows of a bounded number of
+whole texts: labelled texts by hash, and for every cue a text that holds it, so that no cue is
+unknown to the field wherever it stands. Of the windows, wherever in their texts, some are taken
+by hash for each label, and one for every cue.
+
 Defined cases: a null or empty text has no words and the score of such a text; without labels
 of both kinds every score is 0; equal rows get equal scores; other columns are not read.
 """
 
 import re
+import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayposts.llm.arrow import WORD, map_batches
+from wayposts.sources.shared_folder import materialize, release
+from wayposts.sources.tables import literal_frame
 
 PREFIXES = range(4, 9)
-# Bounds of what is learned: cues kept, documents and words per document for the field, and
-# documents for the regression (their marginals only).
+# Bounds of what is learned: cues kept; documents taken by hash for the field beside one per
+# cue, words in a window, and windows taken by hash beside one per cue; and documents for the
+# regression (their marginals only).
 CUES = 5_000
 FIELD_DOCS = 2_000
-FIELD_WORDS = 256
+WINDOW_WORDS = 256
+FIELD_WINDOWS = 4_000
 SCORE_DOCS = 10_000
 LEAST_TOXIC_DOCS = 8
 LEAST_LOG_ODDS = 1.5
@@ -46,31 +57,42 @@ def cue_names(word: str) -> list[str]:
     return [f"={word}"] + [f"<{word[:n]}" for n in PREFIXES if len(word) >= n]
 
 
-def find_cues(labelled: DataFrame) -> list[tuple[str, float]]:
-    """At most ``CUES`` cues with their log-odds, from (``text``, ``toxic``) rows."""
+def find_cues(labelled: DataFrame) -> tuple[list[tuple[str, float]], list]:
+    """At most ``CUES`` cues with their log-odds, from (``doc_id``, ``text``, ``toxic``) rows, and
+    for each the id of a toxic document that holds it."""
 
     def start() -> Callable[[dict], dict]:
         def work(batch: dict) -> dict:
             counts: dict[str, list[int]] = {}
-            for text, toxic in zip(batch["text"], batch["toxic"]):
+            holders: dict[str, object] = {}
+            for doc_id, text, toxic in zip(batch["doc_id"], batch["text"], batch["toxic"]):
                 for word in {plain(w) for w in set(WORD.findall(text or ""))}:
                     if word:
                         counts.setdefault(word, [0, 0])[toxic] += 1
+                        if toxic:
+                            holders.setdefault(word, doc_id)
             return {
                 "word": list(counts),
                 "clean": [c[0] for c in counts.values()],
                 "toxic": [c[1] for c in counts.values()],
+                "holder": [holders.get(word) for word in counts],
             }
 
         return work
 
     totals = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
-        return []
+        return [], []
+    kind = labelled.schema["doc_id"].dataType.simpleString()
+    added = [F.sum(c).alias(c) for c in ("clean", "toxic")] + [F.min("holder").alias("holder")]
     words = (
-        map_batches(labelled.select("text", "toxic"), start, "word string, clean long, toxic long")
+        map_batches(
+            labelled.select("doc_id", "text", "toxic"),
+            start,
+            f"word string, clean long, toxic long, holder {kind}",
+        )
         .groupBy("word")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(*added)
     )
     begun = F.transform(
         F.filter(F.array(*[F.lit(n) for n in PREFIXES]), lambda n: F.length("word") >= n),
@@ -81,9 +103,10 @@ def find_cues(labelled: DataFrame) -> list[tuple[str, float]]:
             F.explode(F.concat(F.array(F.concat(F.lit("="), F.col("word"))), begun)).alias("cue"),
             "clean",
             "toxic",
+            "holder",
         )
         .groupBy("cue")
-        .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        .agg(*added)
         .where(F.col("toxic") >= LEAST_TOXIC_DOCS)
     )
     rate = lambda c, n: (F.col(c) + 0.5) / (n + 1)
@@ -95,7 +118,7 @@ def find_cues(labelled: DataFrame) -> list[tuple[str, float]]:
         .limit(CUES)
         .collect()
     )
-    return [(r["cue"], r["odds"]) for r in found]
+    return [(r["cue"], r["odds"]) for r in found], sorted({r["holder"] for r in found})
 
 
 class Observer:
@@ -255,32 +278,78 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     None if one of the labels does not occur.
     """
-    texts = docs.select("doc_id", "text")
+    texts, labels = docs.select("doc_id", "text"), labels.select("doc_id", "toxic")
     # one way of joining at every size, so that a small trial tells what a large run will move
-    known = labels.select("doc_id", "toxic").hint("merge")
-    cues = find_cues(texts.join(known, "doc_id"))
+    known = labels.hint("merge")
+    cues, holders = find_cues(texts.join(known, "doc_id"))
     if not cues:
         return None
     order = (F.xxhash64("doc_id"), F.col("doc_id"))
-    cut = F.split(F.coalesce(F.col("text"), F.lit("")), r"[\x20\x09-\x0D]+")
-    words = F.slice(F.array_remove(cut, ""), 1, FIELD_WORDS).alias("words")
 
     def sample(rows: DataFrame, most: int) -> DataFrame:
         # at most a few thousand pairs of a long and an int, so safe to broadcast
         return texts.join(F.broadcast(rows.orderBy(*order).limit(most)), "doc_id")
 
     each = [labels.where(F.col("toxic") == label) for label in (0, 1)]
-    few = sample(each[0], FIELD_DOCS // 2).unionByName(sample(each[1], FIELD_DOCS // 2))
-    observe = Observer(cues)
-    rows = few.select(words, "toxic").limit(2 * FIELD_DOCS).collect()
+    chosen = [rows.orderBy(*order).limit(FIELD_DOCS // 2) for rows in each]
+    # at most one for each cue
+    chosen.append(each[1].join(F.broadcast(_ids(labels, holders)), "doc_id", "left_semi"))
+    chosen = chosen[0].unionByName(chosen[1]).unionByName(chosen[2]).distinct()
+    few = texts.join(F.broadcast(chosen), "doc_id")
     strong = sum(odds >= STRONG_LOG_ODDS for _, odds in cues)
-    field = train_field([(observe(r["words"]), r["toxic"]) for r in rows], strong, len(cues))
+    field = train_field(field_windows(few, cues), strong, len(cues))
     seen = _summaries(sample(labels, SCORE_DOCS), cues, field, "toxic")
     seen = seen.select("summary", "toxic").limit(2 * SCORE_DOCS).collect()
     x = np.array([r["summary"] for r in seen])
     return Model(cues, field, fit_logistic(x, np.array([r["toxic"] for r in seen], float)))
 
 
+def _ids(labels: DataFrame, ids: list) -> DataFrame:
+    kind = T.StructType([labels.schema["doc_id"]])
+    return literal_frame(labels.sparkSession, [(i,) for i in ids], kind)
+
+
+def field_windows(
+    docs: DataFrame, cues: list[tuple[str, float]], most: int = FIELD_WINDOWS
+) -> list[tuple[list[int], int]]:
+    """Windows of the whole texts of (``doc_id``, ``text``, ``toxic``) rows, as numbers of cues,
+    with the label: ``most`` / 2 of each label by hash, and for every cue one of a toxic text."""
+
+    def start() -> Callable[[dict], dict]:
+        observe = Observer(cues)
+
+        def work(batch: dict) -> dict:
+            made: dict[str, list] = {"seen": [], "toxic": [], "draw": []}
+            for doc_id, text, toxic in zip(batch["doc_id"], batch["text"], batch["toxic"]):
+                seen = observe(WORD.findall(text or ""))
+                for at in range(0, len(seen), WINDOW_WORDS):
+                    made["seen"].append(seen[at : at + WINDOW_WORDS])
+                    made["toxic"].append(toxic)
+                    made["draw"].append(zlib.crc32(f"{doc_id}:{at}".encode()))
+            return made
+
+        return work
+
+    windows = materialize(
+        map_batches(
+            docs.select("doc_id", "text", "toxic"), start, "seen array<int>, toxic int, draw long"
+        ),
+        "toxic-windows",
+    )
+    by_hash = [
+        windows.where(F.col("toxic") == label).orderBy("draw", "seen").limit(most // 2)
+        for label in (0, 1)
+    ]
+    held = F.explode(F.array_distinct(F.filter("seen", lambda cue: cue > 0))).alias("cue")
+    first = F.min(F.struct("draw", "seen", "toxic")).alias("first")
+    by_cue = windows.where("toxic = 1").select(held, "draw", "seen", "toxic").groupBy("cue")
+    by_cue = by_cue.agg(first).select("first.seen", "first.toxic", "first.draw")
+    taken = by_hash[0].unionByName(by_hash[1]).unionByName(by_cue).distinct()
+    rows = taken.orderBy("draw", "toxic", "seen").limit(most + len(cues)).collect()
+    release(windows)
+    return [(r["seen"], r["toxic"]) for r in rows]
+
+
 def _summaries(docs: DataFrame, cues, field: Field, *carried: str) -> DataFrame:
     """Per text the summary of its marginals and its offending spans."""
     names = ("doc_id", *carried)
