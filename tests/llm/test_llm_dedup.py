@@ -86,8 +86,21 @@ def copied():
     return list(enumerate(rows))
 
 
+def _edits_alike(a, b):
+    """Whether the edit similarity of the words is 0.8 or more, by the whole table of distances."""
+    a, b = (np.array(text.split(), object) for text in (a, b))
+    at = np.arange(len(b) + 1)
+    row = at
+    for word in a:
+        kept = np.minimum(row[1:] + 1, row[:-1] + (b != word))
+        # an insertion costs one for each place moved on
+        row = np.minimum.accumulate(np.concatenate([[row[0] + 1], kept]) - at) + at
+    return 5 * row[-1] <= max(len(a), len(b))
+
+
 def _classes(rows):
-    """Components of all pairs of texts with a similarity of 0.8 or more; equal texts too."""
+    """Components of all pairs of texts whose shingles and words are both alike to 0.8 or more;
+    equal texts too."""
     root = {i: i for i, _ in rows}
 
     def find(i):
@@ -98,7 +111,7 @@ def _classes(rows):
     for i, a in rows:
         for j, b in rows[:i]:
             a, b = a or "", b or ""
-            if a == b or (a.split() and b.split() and jaccard(a, b) >= 0.8):
+            if a == b or (a.split() and b.split() and jaccard(a, b) >= 0.8 and _edits_alike(a, b)):
                 low, high = sorted((find(i), find(j)))
                 root[high] = low
     return {i: find(i) for i, _ in rows}
@@ -115,6 +128,35 @@ def test_near_classes(spark, copied):
     assert near.one_of_each(documents(spark, [(None, "x"), (None, "y"), (None, "x")])).count() == 2
 
 
+def test_like_shingles_in_another_order_are_another_text(spark):
+    parts = [some_words(random.Random(k), 60) for k in range(4)]
+    turned = [" ".join(sum((parts[k] for k in order), [])) for order in ((0, 1, 2, 3), (2, 3, 0, 1))]
+    assert jaccard(*turned) >= 0.8 and not _edits_alike(*turned)
+    rows = [(1, turned[0]), (2, turned[1]), (3, turned[1] + " end")]
+    found = {r["doc_id"]: r["class_id"] for r in near.near_classes(documents(spark, rows)).collect()}
+    assert found == _classes(rows) == {1: 1, 2: 2, 3: 2}
+
+
+def test_histograms_never_part_similar_texts():
+    chance = random.Random(8)
+    hashes, parted = near.WordHashes(), 0
+    for n in (1, 3, 5, 6, 20, 200, 3000):
+        for _ in range(60):
+            a = [chance.choice("abcdef") for _ in range(n)] if chance.random() < 0.3 else some_words(chance, n)
+            b = list(a)
+            for _ in range(chance.randrange(max(2, n // 12))):
+                b[chance.randrange(n)] = "new"
+            if chance.random() < 0.3:
+                b = b[: max(1, int(n * chance.uniform(0.7, 1)))]
+            x, y = hashes.of(a), hashes.of(b)
+            hists = np.array([np.frombuffer(near.histogram(w), np.uint8) for w in (x, y)])
+            far = near._far(hists, np.array([0]), np.array([1]))
+            may = near.may_be_similar(far, len(near.shingles(x)) + len(near.shingles(y)))[0]
+            parted += not may
+            assert may or near.jaccard(x, y) < near.SIMILARITY
+    assert parted > 20
+
+
 def test_members_unlike_their_leader_find_each_other(spark, monkeypatch):
     chance = random.Random(21)
     base = [some_words(chance, 60) for _ in range(4)]

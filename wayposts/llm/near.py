@@ -2,11 +2,17 @@
 
 Each sketch of a text takes the two smallest of its five-word shingles under one hash, each
 shingle labelled with how often it occurred before, in the order in which they stand. Texts that
-share all sketches of a band are candidates. Within a bucket every text is compared with one
-leader, picked anew by hash in each bucket. Buckets that still hold several classes are then
-finished: all pairs of different classes are compared, first the nearest text of each class, and
-once these classes are united, all that are left. Pairs with fewer equal sketches than similar
-texts have, but for one in a million, are unlike without a look at the texts. A pair is linked if the
+share all sketches of a band are candidates. Each bucket names one leader by a hash of its own.
+Every text is verified against that of its leaders with which it shares most sketches, then, of
+the classes that this gives, one pair of leader and text for each two classes. Buckets that still
+hold several classes are finished: all pairs of different classes are compared, first the nearest
+text of each class, and once these classes are united, all that are left.
+
+Three things are told of a pair before it becomes a row, without a look at the texts. Pairs whose
+numbers of shingles differ too much are unlike. So are pairs with fewer equal sketches than
+similar texts have, but for one in a million. And every text has a short histogram of its
+shingles by hash: where two histograms differ by more than the shingles of similar texts can, the
+texts are surely unlike. Texts that merely share a long passage end there. A pair is linked if the
 multisets of shingles have a Jaccard similarity of 0.8 or more and the words an edit similarity
 of 0.8 or more, found along the diagonals within the band that this similarity leaves. Classes
 are connected components.
@@ -32,7 +38,7 @@ from pyspark.sql import functions as F
 from wayposts.llm.arrow import WORD, map_batches
 from wayposts.llm.components import components
 from wayposts.llm.text import whole
-from wayposts.sources.shared_folder import materialize
+from wayposts.sources.shared_folder import materialize, release
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -40,6 +46,8 @@ BANDS = 16
 SKETCHES_A_BAND = 2
 # Of the sketches, as many are equal at least; at the wanted similarity 20 of 32 are on average.
 LEAST_EQUAL = 8
+# Cells of a histogram of shingles, one byte each; larger counts stay at the largest byte.
+CELLS = 256
 KEPT_WORDS = 300_000
 # Texts outside a bucket's largest class, and texts they are compared with, in one task on average.
 OPEN_ROWS = 1024
@@ -116,6 +124,31 @@ def sketches(words: np.ndarray, count: int = BANDS * SKETCHES_A_BAND) -> np.ndar
         return mixed(mixed(head) + tail + factors).view(np.int64)
 
 
+def histogram(words: np.ndarray) -> bytes:
+    """How many shingles of a text of hashed words fall into each cell, 255 for more."""
+    cells = (shingles(words) & np.uint64(CELLS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(cells, minlength=CELLS), 255).astype(np.uint8).tobytes()
+
+
+def may_be_similar(far: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Whether texts can have the similarity, with ``far`` the difference of their histograms and
+    ``total`` their shingles together.
+
+    Texts of similarity s have (1 - s) / (1 + s) of their shingles unshared at most, and the
+    histograms differ by no more than the unshared ones.
+    """
+    return far <= (1 - SIMILARITY) / (1 + SIMILARITY) * total + 1e-6
+
+
+def _far(hists: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How much the histograms at the places ``a`` and ``b`` differ, pair by pair."""
+    found = np.empty(len(a), np.int64)
+    for at in range(0, len(a), 8192):
+        to = slice(at, at + 8192)
+        found[to] = np.abs(hists[a[to]].astype(np.int16) - hists[b[to]]).sum(1)
+    return found
+
+
 def band_values(listed: Column) -> Column:
     """One number per band, of its sketches."""
     band = lambda b: F.xxhash64(*[F.get(listed, b * SKETCHES_A_BAND + k) for k in range(SKETCHES_A_BAND)])
@@ -176,15 +209,21 @@ def text_node(text: Column) -> Column:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """``node``, ``doc_id`` and ``sketches`` of every document; none of those without words."""
+    """``node``, ``doc_id``, ``sketches``, ``grams`` (number of shingles) and ``hist`` of every
+    document; no sketches of those without words."""
 
     def start() -> Callable[[dict], dict]:
         hashes = WordHashes()
 
         def work(batch: dict) -> dict:
             found = [hashes.of(WORD.findall(text or "")) for text in batch["text"]]
-            listed = [sketches(w) if len(w) else [] for w in found]
-            return {"node": batch["node"], "doc_id": batch["doc_id"], "sketches": listed}
+            return {
+                "node": batch["node"],
+                "doc_id": batch["doc_id"],
+                "sketches": [sketches(w) if len(w) else [] for w in found],
+                "grams": [max(len(w) - SHINGLE + 1, 1) for w in found],
+                "hist": [histogram(w) if len(w) else b"" for w in found],
+            }
 
         return work
 
@@ -192,7 +231,7 @@ def sketched(docs: DataFrame) -> DataFrame:
     return map_batches(
         docs.select(text_node(F.col("text")).alias("node"), "doc_id", "text"),
         start,
-        f"node binary, doc_id {kind}, sketches array<long>",
+        f"node binary, doc_id {kind}, sketches array<long>, grams long, hist binary",
     )
 
 
@@ -205,17 +244,40 @@ def _led(buckets: DataFrame) -> DataFrame:
         .where("n > 1")
         .select("bucket", F.col("first.node").alias("leader"))
     )
-    led = buckets.join(materialize(leaders, "near-leaders"), "bucket")
-    return materialize(led.select("node", "leader"), "near-led")
+    leaders = materialize(leaders, "near-leaders")
+    led = materialize(buckets.join(leaders, "bucket").select("node", "leader"), "near-led")
+    release(leaders)
+    return led
 
 
 def _alike(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs with enough equal sketches to be similar."""
-    one = nodes.select("node", F.col("sketches").alias("_one"))
-    other = nodes.select(F.col("node").alias("leader"), F.col("sketches").alias("_other"))
+    """The pairs with enough ``equal`` sketches, and numbers of shingles near enough, to be similar."""
+    one = nodes.select("node", F.col("sketches").alias("_one"), F.col("grams").alias("_n"))
+    other = nodes.select(
+        F.col("node").alias("leader"), F.col("sketches").alias("_other"), F.col("grams").alias("_m")
+    )
+    near = F.least("_n", "_m") >= SIMILARITY * F.greatest("_n", "_m") - 1e-6
     same = F.filter(F.zip_with("_one", "_other", lambda a, b: a == b), lambda x: x)
     joined = pairs.join(one, "node").join(other, "leader")
-    return joined.where(F.size(same) >= LEAST_EQUAL).select("node", "leader")
+    equal = joined.where(near).select("node", "leader", F.size(same).alias("equal"))
+    return equal.where(F.col("equal") >= LEAST_EQUAL)
+
+
+def _of_most(pairs: DataFrame, *group: str) -> DataFrame:
+    """Of each group the pair with most equal sketches."""
+    most = F.max(F.struct("equal", "node", "leader")).alias("most")
+    return pairs.groupBy(*group).agg(most).select("most.node", "most.leader")
+
+
+def _between_classes(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs of different classes under the links ``found``, with the two ``low`` and ``high``."""
+    roots = components(found)
+    for end in ("node", "leader"):
+        rooted = roots.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
+        pairs = pairs.join(rooted, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
+    low, high = F.least("_node", "_leader"), F.greatest("_node", "_leader")
+    apart = pairs.where("_node <> _leader")
+    return apart.select("node", "leader", "equal", low.alias("low"), high.alias("high"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -234,8 +296,10 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
         return work
 
-    one = texts.select("node", F.col("text").alias("one"))
-    other = texts.select(F.col("node").alias("leader"), F.col("text").alias("other"))
+    ends = pairs.select("node").union(pairs.select("leader")).distinct()
+    asked = texts.join(ends, "node", "left_semi")
+    one = asked.select("node", F.col("text").alias("one"))
+    other = asked.select(F.col("node").alias("leader"), F.col("text").alias("other"))
     joined = pairs.join(one, "node").join(other, "leader")
     return map_batches(
         joined.select("node", "leader", "one", "other"), start, "node binary, leader binary"
@@ -270,16 +334,21 @@ def _unfinished(rooted: DataFrame) -> DataFrame:
             F.ceil(F.col("total") / ASKED_ROWS).alias("parts"),
         )
     )
-    rows = banded.join(materialize(classes, "near-mixed"), "bucket").select(
-        "node", "band", "bucket", "blocks", "parts", (F.col("root") != F.col("main")).alias("open")
+    classes = materialize(classes, "near-mixed")
+    rows = banded.join(classes, "bucket").select(
+        "node", "bucket", "blocks", "parts", (F.col("root") != F.col("main")).alias("open")
     )
     rows = materialize(rows, "near-unfinished")
-    low = lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
+    release(classes)
+    # enough of a sketch to tell most unequal ones; those taken for equal only add candidates
+    low = lambda x: x.bitwiseAND(F.lit(0x7FFF)).cast("short")
     facts = rooted.select(
         "node",
-        F.xxhash64("root").alias("class"),
+        F.col("root").alias("class"),
         F.xxhash64("node").alias("hash"),
         F.transform("sketches", low).alias("sketches"),
+        "grams",
+        "hist",
     )
     each = lambda name: F.sequence(F.lit(0).cast("long"), F.col(name) - 1)
     one = lambda name, seed: F.array(F.pmod(F.xxhash64("node", F.lit(seed)), F.col(name)))
@@ -287,46 +356,48 @@ def _unfinished(rooted: DataFrame) -> DataFrame:
     asked = rows.select("*", F.lit(False).alias("own"), each("blocks").alias("_b"), one("parts", 2).alias("_p"))
     dealt = (
         own.union(asked)
-        .select("node", "band", "bucket", "open", "own", F.explode("_b").alias("_b"), "_p")
-        .select("node", "band", "open", "own", "bucket", "_b", F.explode("_p").alias("_p"))
-        .select("node", "band", "open", "own", F.xxhash64("bucket", "_b", "_p").alias("key"))
+        .select("node", "bucket", "open", "own", F.explode("_b").alias("_b"), "_p")
+        .select("node", "open", "own", "bucket", "_b", F.explode("_p").alias("_p"))
+        .select("node", "open", "own", F.xxhash64("bucket", "_b", "_p").alias("key"))
     )
     return dealt.join(facts, "node").select(
-        "key", "own", "open", "band", "class", "hash", "node", "sketches"
+        "key", "own", "open", "class", "hash", "node", "sketches", "grams", "hist"
     )
 
 
 def _across(group: pa.Table, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of different classes in a task's rows with enough equal sketches; if
-    ``nearest``, for each own text only the one with the most of each class.
-
-    A pair is told only in the first of the bands that it shares.
-    """
-    own, opened, band, kind, order = (
-        group.column(n).to_numpy() for n in ("own", "open", "band", "class", "hash")
+    """Places of the pairs of different classes in a task's rows that can be similar; if
+    ``nearest``, for each own text only the one least far of each class."""
+    own, opened, order, grams = (
+        group.column(n).to_numpy() for n in ("own", "open", "hash", "grams")
     )
+    kind = pa.concat_arrays(group.column("class").chunks).dictionary_encode().indices.to_numpy()
     listed = pa.concat_arrays([c.flatten() for c in group.column("sketches").chunks])
     listed = listed.to_numpy().reshape(len(own), -1)
+    hists = np.frombuffer(b"".join(group.column("hist").to_pylist()), np.uint8).reshape(len(own), -1)
     a, b = np.flatnonzero(own), np.flatnonzero(~own)
     ones, others = [], []
     for at in range(0, len(a), 64):
         x = a[at : at + 64]
-        equal = listed[x][:, None, :] == listed[b][None, :, :]
-        count = equal.sum(2)
         # of two open texts each is asked by the other
         once = ~opened[b] | (order[x][:, None] <= order[b])
-        i, j = np.nonzero((count >= LEAST_EQUAL) & (kind[x][:, None] != kind[b]) & once)
-        shared = equal[i, j].reshape(len(i), BANDS, SKETCHES_A_BAND).all(2)
-        here = shared.argmax(1) == band[x[i]]
-        i, j = i[here], j[here]
+        n, m = grams[x][:, None], grams[b]
+        sized = np.minimum(n, m) >= SIMILARITY * np.maximum(n, m) - 1e-6
+        i, j = np.nonzero(once & sized & (kind[x][:, None] != kind[b]))
+        i, j = x[i], b[j]
+        alike = (listed[i] == listed[j]).sum(1) >= LEAST_EQUAL
+        i, j = i[alike], j[alike]
+        far = _far(hists, i, j)
+        alike = may_be_similar(far, grams[i] + grams[j])
+        i, j, far = i[alike], j[alike], far[alike]
         if nearest and len(i):
-            ranked = np.lexsort((order[b[j]], -count[i, j], kind[b[j]], i))
+            ranked = np.lexsort((order[j], far, kind[j], i))
             i, j = i[ranked], j[ranked]
             new = np.ones(len(i), bool)
-            new[1:] = (i[1:] != i[:-1]) | (kind[b[j[1:]]] != kind[b[j[:-1]]])
+            new[1:] = (i[1:] != i[:-1]) | (kind[j[1:]] != kind[j[:-1]])
             i, j = i[new], j[new]
-        ones.append(x[i])
-        others.append(b[j])
+        ones.append(i)
+        others.append(j)
     none = [np.empty(0, int)]
     return np.concatenate(ones or none), np.concatenate(others or none)
 
@@ -378,20 +449,30 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Verified links between nodes, enough of them to connect each class."""
     led = _led(_bucketed(nodes))
     pairs = led.where("node <> leader").distinct()
-    asked = materialize(_alike(pairs, nodes), "near-pairs")
+    alike = materialize(_alike(pairs, nodes), "near-pairs")
     # only these have others to be compared with
     members = materialize(led.select("node").distinct(), "near-members")
+    release(led)
     texts = _texts(docs, members)
+    asked = materialize(_of_most(alike, "node"), "near-first")
     found = materialize(_verified(asked, texts), "near-links")
+    left = alike.join(asked, ["node", "leader"], "left_anti")
+    second = materialize(_of_most(_between_classes(left, found), "low", "high"), "near-second")
+    found = found.unionByName(materialize(_verified(second, texts), "near-links"))
+    asked = _ordered(asked.unionByName(second))
     for nearest in (True, False):
         rooted = nodes.join(members, "node", "left_semi").join(components(found), "node", "left")
-        rooted = rooted.select("node", "sketches", F.coalesce("component", "node").alias("root"))
-        pairs = materialize(_candidates(materialize(rooted, "near-rooted"), nearest), "near-across")
+        rooted = rooted.withColumn("root", F.coalesce("component", "node"))
+        rooted = materialize(rooted.drop("component", "smallest"), "near-rooted")
+        pairs = _candidates(rooted, nearest).join(asked, ["node", "leader"], "left_anti")
+        pairs = materialize(pairs, "near-across")
+        release(rooted)
         if pairs.isEmpty():
             break
-        pairs = pairs.join(_ordered(asked), ["node", "leader"], "left_anti")
         found = found.unionByName(materialize(_verified(pairs, texts), "near-links"))
         asked = asked.unionByName(pairs)
+    for table in (alike, members, texts):
+        release(table)
     return found
 
 
@@ -412,15 +493,19 @@ def near_classes(docs: DataFrame) -> DataFrame:
     rows = materialize(sketched(docs), "near-sketches")
     nodes = materialize(
         rows.groupBy("node").agg(
-            F.min("doc_id").alias("smallest"), F.first("sketches").alias("sketches")
+            F.min("doc_id").alias("smallest"),
+            *[F.first(c).alias(c) for c in ("sketches", "grams", "hist")],
         ),
         "near-nodes",
     )
-    roots = components(links(docs, nodes))
+    found = links(docs, nodes)
+    roots = components(found)
+    release(found)
     rooted = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("root"), "smallest"
     )
     rooted = materialize(rooted, "near-roots")
+    release(nodes)
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("class_id"))
     named = rooted.join(materialize(smallest, "near-smallest"), "root").select(
         "node", "class_id", "root"
