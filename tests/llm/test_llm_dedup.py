@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from llm_frames import deleted_lines, documents, jaccard, some_words
@@ -305,7 +306,8 @@ def test_beam_is_widened_until_the_audit_passes(monkeypatch):
     beam = embeddings.audited_beam(graph, queries, 0.9)
     assert beam > 1
     moved = embeddings.unit(x + draw.standard_normal(x.shape) * 0.04)
-    rows, found = embeddings.find_links(graph, x.astype(float), moved.astype(float), 0.9)
+    pieces = list(embeddings.find_links(graph, x.astype(float), moved.astype(float), 0.9))
+    rows, found = map(np.concatenate, zip(*pieces))
     true = set(zip(*map(np.ndarray.tolist, np.nonzero(moved @ x.T >= 0.9))))
     assert len(true & set(zip(rows.tolist(), found.tolist()))) >= 0.97 * len(true)
 
@@ -324,3 +326,28 @@ def test_a_group_of_copies_does_not_pass_the_audit_for_the_rest(monkeypatch):
     rows, found, _ = embeddings._beamed(graph, rare, beam, 0.9)
     true = set(zip(*map(np.ndarray.tolist, np.nonzero(rare @ x.T >= 0.9))))
     assert len(true & set(zip(rows.tolist(), found.tolist()))) >= 0.97 * len(true)
+
+
+def test_links_of_a_large_group_are_never_held_at_once(monkeypatch):
+    draw = np.random.default_rng(2)
+    x = draw.standard_normal((3000, 32))
+    x[:1000] = x[0] + 0.02 * draw.standard_normal((1000, 32))
+    x[1000:1100] = x[1100:1200] + 0.05 * draw.standard_normal((100, 32))
+    rows = pd.DataFrame({"node": np.arange(3000) * 7 + 3, "n": 1, "vector": list(x), "width": 32, "shard": 0})
+    sizes = []
+    whole = embeddings.forest
+
+    def measured(a, b):
+        sizes.append(len(a))
+        return whole(a, b)
+
+    monkeypatch.setattr(embeddings, "forest", measured)
+    found = embeddings._asked(embeddings._graph_of_shard(rows), rows[["node", "vector"]])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    degrees = found.groupby("node")["links"].sum().reindex(rows["node"], fill_value=0)
+    assert near.sum() > 900_000 and degrees.tolist() == near.sum(1).tolist()
+    assert max(sizes) <= 64 * 1000
+    edges = found[found["node"] != found["other"]]
+    assert (len(edges), edges["other"].nunique()) == (1099, 101)
