@@ -125,3 +125,25 @@ def test_reduction_loses_no_optimum(seed):
     rest = [length for length in range(21) for _ in range(counts[length])]
     used = sum(times for times, _ in fixed)
     assert used + (_fewest(rest, 20) if rest else 0) == _fewest(items, 20)
+
+
+def test_words_with_marks_are_put_together_from_parts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    letters = ["ab", "Été", "naïve", "ñ", "x×y", "don't", "a1", "ªº", "ŒÆ"]
+    marks = ["", ".", ",!!", "&&&%%%", "'s!", "!'ve", "<|endoftext|>", "|", "`~{}[]^\\", "≠", "̸"]
+    words = [a + m + b for a in letters for m in marks for b in ("", "ß")]
+    words = {word for text in words for word in packing.byte_words(text)}
+    known = packing.WordIds(path)
+    asked = []
+    plainly, known._encode = known._encode, lambda texts: asked.extend(texts) or plainly(texts)
+    known.learn(words)
+    for word in words:
+        ids = library.encode(word.decode(), add_special_tokens=False).ids
+        assert known[word] == np.array(ids, "<u4").tobytes(), word
+    # letters are never encoded with the marks after them
+    assert "ab&&&%%%" not in asked and "&&&%%%" in asked
+    assert packing.known_words(path) is packing.known_words(path)

@@ -16,6 +16,7 @@ import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -27,11 +28,13 @@ from wayposts.sources.shared_folder import materialize
 
 CAPACITY = 4096
 CLOSING_ID = 1
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_000_000
 _BUCKETS = 512
 
-# Words that are one word to the tokenizer whatever stands around them.
-PLAIN = re.compile("[a-zß-öø-ÿ]+")
+# In UTF-8: letters a-z and those of U+00C0 to U+00FF, which are one word to the tokenizer, and
+# marks after them. Of the marks that are not here, ' may begin a word with letters after it, and
+# < or | the name of a special token.
+PARTS = re.compile(rb"((?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=?@\[-`{}~]*)")
 
 # (times used, ((length, pieces of it in one sequence), ...))
 Pattern = tuple[int, tuple[tuple[int, int], ...]]
@@ -41,9 +44,9 @@ class WordIds(dict):
     """Ids of words as packed little-endian 32-bit numbers, for words that ``learn`` was given.
 
     The tokenizer drops white space and joins nothing across it, so the ids of a text are those
-    of its words one after another. A comma or full stop after a letter is a word of its own to
-    it. Words of plain letters are single words to it too; they are encoded many at a time and
-    told apart by the ids that end a word.
+    of its words one after another. A run of marks after letters is a word of its own to it, so
+    such words are put together from two. Words of plain letters are single words to it too; they
+    are encoded many at a time and told apart by the ids that end a word.
     """
 
     def __init__(self, tokenizer_path: str):
@@ -59,19 +62,31 @@ class WordIds(dict):
     def learn(self, words: set[bytes]) -> None:
         if len(self) > KEPT_WORDS:
             self.clear()
-        fresh = {w for w in words if w not in self}
-        marked = [w for w in fresh if w[-1:] in (b",", b".") and w[-2:-1].isalpha()]
-        fresh.difference_update(marked)
-        fresh.update(stem for w in marked for stem in (w[:-1], w[-1:]) if stem not in self)
-        plain = [w for w in fresh if PLAIN.fullmatch(w.decode())]
-        fresh.difference_update(plain)
-        for at in range(0, len(plain), 1000):
-            fresh.update(self._learn_together(plain[at : at + 1000]))
-        others = list(fresh)
-        for word, ids in zip(others, self._encode([w.decode() for w in others])):
-            self[word] = np.array(ids, "<u4").tobytes()
-        for word in marked:
-            self[word] = self[word[:-1]] + self[word[-1:]]
+        plain, others, marked = set(), set(), []
+        for word in words:
+            if word in self:
+                continue
+            parts = PARTS.fullmatch(word)
+            if not parts:
+                others.add(word)
+                continue
+            letters, marks = parts.groups()
+            if letters not in self:
+                plain.add(letters)
+            if marks:
+                marked.append((word, letters, marks))
+                if marks not in self:
+                    others.add(marks)
+        listed = list(plain)
+        for at in range(0, len(listed), 1000):
+            others.update(self._learn_together(listed[at : at + 1000]))
+        listed = list(others)
+        for at in range(0, len(listed), 1000):
+            some = listed[at : at + 1000]
+            for word, ids in zip(some, self._encode([w.decode() for w in some])):
+                self[word] = np.array(ids, "<u4").tobytes()
+        for word, letters, marks in marked:
+            self[word] = self[letters] + self[marks]
 
     def _learn_together(self, words: list[bytes]) -> list[bytes]:
         """Learns words from one text of them all; gives them back if they can't be told apart."""
@@ -90,6 +105,12 @@ class WordIds(dict):
         return [each.ids for each in found]
 
 
+@lru_cache(maxsize=1)
+def known_words(tokenizer_path: str) -> WordIds:
+    """The words that the tasks of one Python worker share."""
+    return WordIds(tokenizer_path)
+
+
 def byte_words(text: str | None) -> list[bytes]:
     """The words of a text in UTF-8, their A-Z in lower case where that changes no id.
 
@@ -108,7 +129,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
     def start() -> Callable[[dict], dict]:
         import public_tokenizers
 
-        known = WordIds(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
+        known = known_words(tokenizer_path or public_tokenizers.path("word_bpe_49k.json"))
         rows = 0
 
         def work(batch: dict) -> dict:
@@ -119,7 +140,7 @@ def pieces(docs: DataFrame, tokenizer_path: str | None = None, capacity: int = C
                 n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32", "bucket")
             }
             for doc_id, words in zip(batch["doc_id"], texts):
-                ids = b"".join([known[w] for w in words]) + closing
+                ids = b"".join(map(known.__getitem__, words)) + closing
                 for number, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at : at + 4 * capacity]
                     made["doc_id"].append(doc_id)
