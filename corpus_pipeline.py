@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: filter, dedup lines and documents, mix, pack.
 
 Every stage is written to the shared folder and read again by the next, so a lost executor
-costs at most one stage's own work.
+costs at most one stage's own work. What a stage wrote on the way, and the stage before it, are
+deleted then.
 """
 
 from collections.abc import Callable
@@ -9,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from wayposts.llm import lines, mixing, near, packing, quality
-from wayposts.sources.shared_folder import materialize
+from wayposts.sources.shared_folder import release, settled
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -48,8 +49,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for number, (name, stage) in enumerate(STAGES, start=1):
-        docs = stage(spark, docs, sf_dir)
-        if number < len(STAGES):
-            docs = materialize(docs, f"pipeline-{name}")
-    return docs
+    *written, (_, last) = STAGES
+    for name, stage in written:
+        before = docs
+        docs = settled(lambda: stage(spark, before, sf_dir), f"pipeline-{name}")
+        # the given table is none that was written here, and stays
+        release(before)
+    return last(spark, docs, sf_dir)

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wayposts.llm.text import has_word, let, n_words, whole
-from wayposts.sources.shared_folder import materialize
+from wayposts.sources.shared_folder import materialize, release, settled
 
 MIN_WORDS = 50
 
@@ -115,6 +115,7 @@ def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc`` and ``gone``, the numbers from 0 of the lines to delete, for documents with any."""
     lines = materialize(line_table(docs, min_words), "lines-all")
     named = materialize(_named(lines, ["h1", "h2"], "line").drop("h1", "h2"), "lines-1")
+    release(lines)
     level = named.select("doc", "i", "n")
     covered = []
     for k in range(floor(log2(max(min_words, 1))) + 1):
@@ -167,7 +168,7 @@ def _later_runs(named: DataFrame, level: DataFrame, k: int) -> DataFrame:
 def without_lines(docs: DataFrame, min_words: int = MIN_WORDS, prefix: str = "") -> DataFrame:
     """``docs`` with the shortened text, and the old numbers of the lines that went as ``gone``."""
     gone = f"{prefix}gone"
-    deleted = deleted_lines(docs, min_words).select(
+    deleted = settled(lambda: deleted_lines(docs, min_words), "lines-gone").select(
         F.col("doc").alias("_lines_doc"), F.col("gone").alias(gone)
     )
     keyed = docs.withColumn("_lines_key", document_key(docs))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from wayposts.llm.text import n_words
-from wayposts.sources.shared_folder import materialize
+from wayposts.sources.shared_folder import materialize, settled
 
 WEIGHTS = (1, 2, 3)
 MOST_REPEATS = 3
@@ -241,10 +241,11 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     # written with their numbers, so that these are the same in both reads
     marked = materialize(docs.withColumn("_mix_row", F.monotonically_increasing_id()), "mix-rows")
     copies = F.floor(F.col("taken") / F.greatest("size", F.lit(1)) + 0.5).cast("int")
-    plan = (
-        mix(marked, WEIGHTS, MOST_REPEATS, BLOCK_WORDS, "_mix_row")
+    plan = settled(
+        lambda: mix(marked, WEIGHTS, MOST_REPEATS, BLOCK_WORDS, "_mix_row")
         .select(F.col("_mix_row").alias("_mix_of"), "slots", "first_slot", copies.alias("_mix_copies"))
-        .where("_mix_copies > 0")
+        .where("_mix_copies > 0"),
+        "mix-plan",
     )
     slot = F.coalesce(F.get("slots", F.col("_mix_copy") - 1), F.col("first_slot"))
     dealt = (

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from wayposts.llm.arrow import WORD, map_batches
 from wayposts.llm.components import components
 from wayposts.llm.text import whole
-from wayposts.sources.shared_folder import materialize, release
+from wayposts.sources.shared_folder import materialize, release, settled
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -457,30 +457,36 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     asked = materialize(_of_most(alike, "node"), "near-first")
     found = materialize(_verified(asked, texts), "near-links")
     left = alike.join(asked, ["node", "leader"], "left_anti")
-    second = materialize(_of_most(_between_classes(left, found), "low", "high"), "near-second")
+    second = settled(lambda: _of_most(_between_classes(left, found), "low", "high"), "near-second")
     found = found.unionByName(materialize(_verified(second, texts), "near-links"))
     asked = _ordered(asked.unionByName(second))
     for nearest in (True, False):
-        rooted = nodes.join(members, "node", "left_semi").join(components(found), "node", "left")
-        rooted = rooted.withColumn("root", F.coalesce("component", "node"))
-        rooted = materialize(rooted.drop("component", "smallest"), "near-rooted")
-        pairs = _candidates(rooted, nearest).join(asked, ["node", "leader"], "left_anti")
-        pairs = materialize(pairs, "near-across")
+        rooted = settled(lambda: _rooted(nodes.join(members, "node", "left_semi"), found), "near-rooted")
+        pairs = settled(
+            lambda: _candidates(rooted, nearest).join(asked, ["node", "leader"], "left_anti"), "near-across"
+        )
         release(rooted)
         if pairs.isEmpty():
             break
         found = found.unionByName(materialize(_verified(pairs, texts), "near-links"))
         asked = asked.unionByName(pairs)
-    for table in (alike, members, texts):
-        release(table)
     return found
 
 
+def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
+    """``nodes`` with the ``root`` of each under the links ``found``."""
+    rooted = nodes.join(components(found), "node", "left")
+    return rooted.withColumn("root", F.coalesce("component", "node")).drop("component", "smallest")
+
+
 def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The text of each of the nodes in ``members``, written."""
+    """The text of each of the nodes in ``members``, written.
+
+    Members are too many to send to every task in a large corpus, and so in a small one as well.
+    """
     return materialize(
         docs.select(text_node(F.col("text")).alias("node"), whole(F.col("text")).alias("text"))
-        .join(members, "node", "left_semi")
+        .join(members.hint("merge"), "node", "left_semi")
         .groupBy("node")
         .agg(F.first("text").alias("text")),
         "near-texts",
@@ -490,15 +496,18 @@ def _texts(docs: DataFrame, members: DataFrame) -> DataFrame:
 def near_classes(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``node``, ``class_id``, the smallest id in its class, and
     ``root``, by which classes differ whose smallest ids are equal."""
-    rows = materialize(sketched(docs), "near-sketches")
+    sketches_of = materialize(sketched(docs), "near-sketches")
     nodes = materialize(
-        rows.groupBy("node").agg(
+        sketches_of.groupBy("node").agg(
             F.min("doc_id").alias("smallest"),
             *[F.first(c).alias(c) for c in ("sketches", "grams", "hist")],
         ),
         "near-nodes",
     )
-    found = links(docs, nodes)
+    # the sketches of all rows are not read again
+    rows = materialize(sketches_of.select("doc_id", "node"), "near-rows")
+    release(sketches_of)
+    found = settled(lambda: links(docs, nodes), "near-found")
     roots = components(found)
     release(found)
     rooted = nodes.join(roots, "node", "left").select(
@@ -506,22 +515,26 @@ def near_classes(docs: DataFrame) -> DataFrame:
     )
     rooted = materialize(rooted, "near-roots")
     release(nodes)
+    release(roots)
     smallest = rooted.groupBy("root").agg(F.min("smallest").alias("class_id"))
-    named = rooted.join(materialize(smallest, "near-smallest"), "root").select(
-        "node", "class_id", "root"
-    )
-    return rows.select("doc_id", "node").join(materialize(named, "near-classes"), "node")
+    smallest = materialize(smallest, "near-smallest")
+    named = materialize(rooted.join(smallest, "root").select("node", "class_id", "root"), "near-classes")
+    release(rooted)
+    release(smallest)
+    return rows.join(named, "node")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The document with the smallest id of each class, with its own columns."""
-    classes = near_classes(docs)
+def _chosen(classes: DataFrame) -> DataFrame:
+    """The id and node of the document that stands for each class."""
     kept = classes.where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     # of rows with the smallest id, the one with the smallest digest
-    chosen = kept.groupBy("root").agg(
-        F.min(F.struct("node", "class_id")).alias("_near")
-    ).select(F.col("_near.class_id").alias("_near_id"), F.col("_near.node").alias("_near_node"))
-    chosen = materialize(chosen, "near-chosen")
+    chosen = kept.groupBy("root").agg(F.min(F.struct("node", "class_id")).alias("_near"))
+    return chosen.select(F.col("_near.class_id").alias("_near_id"), F.col("_near.node").alias("_near_node"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The document with the smallest id of each class, with its own columns."""
+    chosen = settled(lambda: _chosen(near_classes(docs)), "near-chosen")
     own = [F.col(f"`{c}`") for c in docs.columns]
     marked = docs.withColumn("_near_own", text_node(F.col("text")))
     found = marked.join(
