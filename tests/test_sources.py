@@ -310,3 +310,18 @@ def test_one_table_is_released(spark):
     assert [os.path.exists(p) for p in places] == [False, True]
     assert second.first().owner == "b"
     release(posts(spark))
+
+
+def test_steps_towards_a_settled_table_are_deleted(spark):
+    from wayposts.sources.shared_folder import settled
+
+    before = materialize(posts(spark, dict(owner="a")), "posts")
+    steps = []
+
+    def make():
+        steps.append(materialize(before, "step").inputFiles()[0].removeprefix("file://"))
+        return settled(lambda: spark.read.parquet(steps[0]), "inner")
+
+    table = settled(make, "outer")
+    assert [os.path.exists(p) for p in steps] == [False]
+    assert table.first().owner == "a" and before.first().owner == "a"
