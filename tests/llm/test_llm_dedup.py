@@ -53,6 +53,23 @@ def test_runs_of_few_different_lines(spark, seed):
     _check_lines(spark, rows)
 
 
+def test_texts_are_joined_by_shuffle_at_every_size(spark):
+    text = " ".join(some_words(random.Random(1), 80))
+    docs = documents(spark, [(1, text), (2, text)])
+    plan = lines.without_lines(docs, prefix="g_")._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_runs_end_where_a_line_is_missing(spark):
+    rows = [("d", i, 20) for i in (0, 1, 2, 4, 5, 6, 6, 7)] + [("e", 3, 60), ("e", 4, 1)]
+    found = lines.with_runs(literal_frame(spark, rows, "doc string, i int, wc long"), 50).collect()
+    assert sorted((r["doc"], r["i"], r["forward"], r["backward"]) for r in found) == [
+        ("d", 0, 3, None), ("d", 1, None, None), ("d", 2, None, 3),
+        ("d", 4, 3, None), ("d", 5, 3, None), ("d", 6, None, 3), ("d", 7, None, 3),
+        ("e", 3, 1, 1), ("e", 4, None, 2),
+    ]
+
+
 def test_documents_that_were_copies_go(spark):
     text = " ".join(some_words(random.Random(1), 80))
     docs = documents(spark, [(1, text), (2, text), (3, f"{text}\nnew"), (4, ""), (1, text), (5, None)])

@@ -22,6 +22,7 @@ from math import floor, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from wayposts.llm.text import has_word, let, n_words, whole
 from wayposts.sources.shared_folder import materialize, release, settled
@@ -38,32 +39,9 @@ def document_key(docs: DataFrame) -> Column:
     )
 
 
-def _shortest(wc: Column, i: Column, step: int, min_words: int) -> Column:
-    """Lines needed from line ``i`` on, forward or backward, for ``min_words`` words; or null."""
-    last = F.size(wc) - 1
-    reach = F.when(
-        F.lit(step > 0), F.slice(wc, i + 1, F.lit(min_words))
-    ).otherwise(
-        F.reverse(
-            F.slice(wc, F.greatest(i + 2 - min_words, F.lit(1)), F.least(i + 1, F.lit(min_words)))
-        )
-    )
-    start = F.struct(F.lit(0).cast("int").alias("m"), F.lit(0).cast("long").alias("total"))
-    grown = F.aggregate(
-        reach,
-        start,
-        lambda s, x: F.when(s["total"] >= min_words, s).otherwise(
-            F.struct((s["m"] + 1).alias("m"), (s["total"] + x).alias("total"))
-        ),
-    )
-    several = let(grown, lambda s: F.when(s["total"] >= min_words, s["m"]))
-    return F.when(i > last, None).when(F.get(wc, i) >= min_words, F.lit(1)).otherwise(several)
-
-
-def line_table(docs: DataFrame, min_words: int) -> DataFrame:
+def line_table(docs: DataFrame) -> DataFrame:
     """One row per line with a word: ``doc``, ``i`` among those lines, ``at`` in the text, its
-    128-bit id ``h1``, ``h2``, and the lengths ``forward`` and ``backward`` of the shortest runs
-    of ``min_words`` words that begin and end there."""
+    128-bit id ``h1``, ``h2`` and its number of words ``wc``."""
     lines = F.filter(
         F.transform(
             F.split(whole(F.col("text")), "\n"),
@@ -76,26 +54,39 @@ def line_table(docs: DataFrame, min_words: int) -> DataFrame:
         ),
         lambda x: x["wc"] > 0,
     )
-
-    def with_runs(rows: Column) -> Column:
-        wc = F.transform(rows, lambda r: r["wc"])
-        return let(
-            wc,
-            lambda w: F.transform(
-                rows,
-                lambda r, i: F.struct(
-                    r["at"].alias("at"),
-                    r["h1"].alias("h1"),
-                    r["h2"].alias("h2"),
-                    _shortest(w, i, 1, min_words).alias("forward"),
-                    _shortest(w, i, -1, min_words).alias("backward"),
-                ),
-            ),
-        )
-
-    keyed = docs.select(document_key(docs).alias("doc"), let(lines, with_runs).alias("rows"))
-    exploded = keyed.select("doc", F.posexplode("rows").alias("i", "row"))
-    return exploded.select("doc", "i", "row.*")
+    keyed = docs.select(document_key(docs).alias("doc"), lines.alias("rows"))
+    return keyed.select("doc", F.posexplode("rows").alias("i", "row")).select("doc", "i", "row.*")
+
+
+def with_runs(lines: DataFrame, min_words: int) -> DataFrame:
+    """``lines`` once each, with the lengths ``forward`` and ``backward`` of the shortest runs of
+    ``min_words`` words that begin and end there, or null; runs end where a line is missing."""
+    least = max(min_words, 1)
+    by_doc = Window.partitionBy("doc").orderBy("i")
+    # a document listed twice has each line twice
+    once = lines.withColumn("_last", F.lag("i").over(by_doc)).where("_last is null or _last < i")
+    cut = once.withColumn("_stretch", F.col("i") - F.row_number().over(by_doc))
+    stretch = Window.partitionBy("doc", "_stretch")
+    so_far = stretch.orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # words up to the end of the line, and from its start on
+    summed = cut.withColumn("_up", F.sum("wc").over(so_far)).select(
+        "*",
+        (F.sum("wc").over(stretch) - F.col("_up") + F.col("wc")).alias("_on"),
+        (F.col("i") - F.min("i").over(stretch) + 1).alias("_before"),
+        (F.max("i").over(stretch) - F.col("i") + 1).alias("_after"),
+    )
+    # lines that a run of enough words to or from this one need not reach
+    spared = lambda by: F.count(F.lit(1)).over(
+        stretch.orderBy(by).rangeBetween(Window.unboundedPreceding, -least)
+    )
+    length = lambda words, most: F.when(
+        F.col(words) >= least, (F.col(most) - spared(words)).cast("int")
+    )
+    return summed.select(
+        *lines.columns,
+        length("_on", "_after").alias("forward"),
+        length("_up", "_before").alias("backward"),
+    ).drop("wc")
 
 
 def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
@@ -113,8 +104,10 @@ def _named(rows: DataFrame, key: list[str], name: str) -> DataFrame:
 
 def deleted_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc`` and ``gone``, the numbers from 0 of the lines to delete, for documents with any."""
-    lines = materialize(line_table(docs, min_words), "lines-all")
-    named = materialize(_named(lines, ["h1", "h2"], "line").drop("h1", "h2"), "lines-1")
+    lines = materialize(line_table(docs), "lines-all")
+    # a line that occurs once is in no repeated run, so runs are measured without it
+    repeated = _named(lines, ["h1", "h2"], "line").drop("h1", "h2")
+    named = materialize(with_runs(repeated, min_words), "lines-1")
     release(lines)
     level = named.select("doc", "i", "n")
     covered = []
@@ -172,7 +165,8 @@ def without_lines(docs: DataFrame, min_words: int = MIN_WORDS, prefix: str = "")
         F.col("doc").alias("_lines_doc"), F.col("gone").alias(gone)
     )
     keyed = docs.withColumn("_lines_key", document_key(docs))
-    joined = keyed.join(deleted, F.col("_lines_key") == F.col("_lines_doc"), "left")
+    # by shuffle at every size, as there are too many documents with repeated lines to send around
+    joined = keyed.join(deleted.hint("merge"), F.col("_lines_key") == F.col("_lines_doc"), "left")
     rest = let(
         F.col(gone),
         lambda g: F.array_join(
