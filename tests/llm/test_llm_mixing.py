@@ -130,6 +130,12 @@ def test_mixed_documents_come_in_slot_order(spark):
             assert abs(mixed[:until].count(source) - until * words / total) <= 16
 
 
+def test_texts_are_joined_by_shuffle_at_every_size(spark, rows):
+    mixed = mixing.mixed_documents(documents(spark, rows))
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, ""), (2, " ")]])
 def test_nothing_to_mix(spark, rows):
     found = mixing.mix(documents(spark, rows)).collect()

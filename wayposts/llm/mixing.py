@@ -252,8 +252,9 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         plan.withColumn("_mix_copy", F.explode(F.sequence(F.lit(1), F.col("_mix_copies"))))
         .select("_mix_of", "_mix_copy", slot.alias("_mix_slot"))
     )
+    # by shuffle at every size, as the plan names nearly all documents
     return (
-        marked.join(dealt, F.col("_mix_row") == F.col("_mix_of"))
+        marked.join(dealt.hint("merge"), F.col("_mix_row") == F.col("_mix_of"))
         .orderBy("_mix_slot", "_mix_row", "_mix_copy")
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )
