@@ -261,6 +261,18 @@ def test_components(spark):
     assert components(frame.limit(0)).count() == 0
 
 
+def test_stars_need_no_round(spark, monkeypatch):
+    from wayposts.llm import components as module
+
+    written = []
+    write = module.materialize
+    monkeypatch.setattr(module, "materialize", lambda df, name: written.append(name) or write(df, name))
+    edges = [(1, i) for i in range(2, 60)] + [(80, 70), (70, 80), (90, 70)]
+    found = components(literal_frame(spark, edges, "a long, b long"))
+    assert dict(map(tuple, found.collect())) == {i: 1 for i in range(2, 60)} | {80: 70, 90: 70}
+    assert written == ["component-edges", "component-stars"]
+
+
 def _vectors(spark, rows):
     frame = literal_frame(spark, [(i, v) for i, v in rows], "vec_id long, embedding array<float>")
     return frame.selectExpr("*", "1 as label", "'kept' as digest", "'kept' as node", "2 as n")

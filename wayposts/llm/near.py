@@ -269,9 +269,8 @@ def _of_most(pairs: DataFrame, *group: str) -> DataFrame:
     return pairs.groupBy(*group).agg(most).select("most.node", "most.leader")
 
 
-def _between_classes(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs of different classes under the links ``found``, with the two ``low`` and ``high``."""
-    roots = components(found)
+def _between_classes(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs of different classes under ``roots``, with the two ``low`` and ``high``."""
     for end in ("node", "leader"):
         rooted = roots.select(F.col("node").alias(end), F.col("component").alias(f"_{end}"))
         pairs = pairs.join(rooted, end, "left").withColumn(f"_{end}", F.coalesce(f"_{end}", end))
@@ -445,8 +444,8 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     )
 
 
-def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Verified links between nodes, enough of them to connect each class."""
+def class_roots(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``node`` and ``component``, the smallest node of its class, for nodes that are not that."""
     led = _led(_bucketed(nodes))
     pairs = led.where("node <> leader").distinct()
     alike = materialize(_alike(pairs, nodes), "near-pairs")
@@ -455,27 +454,34 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     release(led)
     texts = _texts(docs, members)
     asked = materialize(_of_most(alike, "node"), "near-first")
-    found = materialize(_verified(asked, texts), "near-links")
+    roots = components(_verified(asked, texts))
     left = alike.join(asked, ["node", "leader"], "left_anti")
-    second = settled(lambda: _of_most(_between_classes(left, found), "low", "high"), "near-second")
-    found = found.unionByName(materialize(_verified(second, texts), "near-links"))
+    second = materialize(_of_most(_between_classes(left, roots), "low", "high"), "near-second")
+    roots = _joined(roots, _verified(second, texts))
     asked = _ordered(asked.unionByName(second))
     for nearest in (True, False):
-        rooted = settled(lambda: _rooted(nodes.join(members, "node", "left_semi"), found), "near-rooted")
+        rooted = materialize(_rooted(nodes.join(members, "node", "left_semi"), roots), "near-rooted")
         pairs = settled(
             lambda: _candidates(rooted, nearest).join(asked, ["node", "leader"], "left_anti"), "near-across"
         )
         release(rooted)
         if pairs.isEmpty():
             break
-        found = found.unionByName(materialize(_verified(pairs, texts), "near-links"))
+        roots = _joined(roots, _verified(pairs, texts))
         asked = asked.unionByName(pairs)
-    return found
+    return roots
+
+
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    """The roots once the links ``found`` are added to the classes that ``roots`` names."""
+    joined = components(roots.union(found))
+    release(roots)
+    return joined
 
 
-def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
-    """``nodes`` with the ``root`` of each under the links ``found``."""
-    rooted = nodes.join(components(found), "node", "left")
+def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``nodes`` with the ``root`` of each."""
+    rooted = nodes.join(roots, "node", "left")
     return rooted.withColumn("root", F.coalesce("component", "node")).drop("component", "smallest")
 
 
@@ -507,9 +513,7 @@ def near_classes(docs: DataFrame) -> DataFrame:
     # the sketches of all rows are not read again
     rows = materialize(sketches_of.select("doc_id", "node"), "near-rows")
     release(sketches_of)
-    found = settled(lambda: links(docs, nodes), "near-found")
-    roots = components(found)
-    release(found)
+    roots = settled(lambda: class_roots(docs, nodes), "near-found")
     rooted = nodes.join(roots, "node", "left").select(
         "node", F.coalesce("component", "node").alias("root"), "smallest"
     )
