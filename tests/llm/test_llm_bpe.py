@@ -50,6 +50,21 @@ def test_any_characters_as_in_the_library(both, text):
     _same(both, text)
 
 
+def test_letters_before_marks_are_not_cut_again():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, library = bpe.Encoder(path), Tokenizer.from_file(path)
+    encoder._learn = None
+    text = "Straße straße, ÄRGER!? ärger... naïve) x#$ thé"
+    ids = np.frombuffer(encoder.encode(text), "<u4").tolist()
+    assert ids == library.encode(text, add_special_tokens=False).ids
+    assert len([p for p in encoder.pieces if p.startswith("stra")]) == 1
+
+
+def test_tasks_of_a_worker_share_an_encoder():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert bpe.known_encoder(path) is bpe.known_encoder(path)
+
+
 def _merged_plainly(symbols, merges):
     """The lowest-ranked, leftmost pair again and again, by looking at all of them."""
     symbols = list(symbols)

@@ -16,7 +16,9 @@ import json
 import os
 import re
 from collections.abc import Callable
+from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from string import ascii_letters, punctuation
 from struct import pack
 
 import numpy as np
@@ -25,13 +27,18 @@ from pyspark.sql.types import DataType
 
 from wayposts.llm.arrow import WORD, map_batches
 
-# Encoded words, and pieces of words, that a task keeps from batch to batch, and the longest that
-# it keeps; beyond this it starts afresh.
+# Encoded words, and pieces of words, that the tasks of a Python worker keep, and the longest that
+# they keep; beyond this they start afresh.
 KEPT_WORDS = 500_000
 KEPT_LENGTH = 64
 ID_TYPE = "<u4"
 # New words that are cut in one go.
 _TOGETHER = 1000
+# Most new words are letters before marks or none, and known letters need not be cut again. The
+# marks leave out those that begin added tokens or endings of their own.
+_LETTERS = ascii_letters + "ßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+_MARKS = punctuation.translate({ord(mark): None for mark in "'<"})
+_PARTS = re.compile(rf"([{_LETTERS}]+)([{re.escape(_MARKS)}]*)")
 
 # An entry of the queue is the rank of a pair above the place of its first symbol.
 _PLACE_BITS = 32
@@ -127,6 +134,12 @@ class Encoder:
         self.alone = re.compile("|".join([r"\s", *map(re.escape, added)]))
         sample = ["Ab", "é1", "x's", "!?", "ß"]
         self.together = self._cut(" ".join(sample)) == [p for word in sample for p in self._cut(word)]
+        # What the file makes of each letter, and whether it makes the same of them in a word.
+        self.letters = {ord(c): "".join(self._cut(c)) for c in _LETTERS}
+        all_letters = _LETTERS.translate(self.letters)
+        self.parted = self._cut(_LETTERS + _MARKS) == [all_letters, _MARKS] and not any(
+            _PARTS.match(token) for token in added
+        )
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
@@ -161,6 +174,20 @@ class Encoder:
             self.words[word] = packed
         return packed
 
+    def _part(self, words: set[str]) -> list[str]:
+        """Learns the words that are letters before marks or none, and returns them."""
+        known, learn, kept, parts = self.pieces.get, self._piece, self.words, _PARTS.fullmatch
+        done = []
+        for word in words:
+            if len(word) > KEPT_LENGTH or not (found := parts(word)):
+                continue
+            letters, marks = found.groups()
+            letters = letters.translate(self.letters)
+            packed = known(letters) or learn(letters)
+            kept[word] = packed + (known(marks) or learn(marks)) if marks else packed
+            done.append(word)
+        return done
+
     def _learn(self, words: list[str]) -> None:
         """Cuts words in one go, and tells their pieces apart by their places; leaves the words out
         where their number changes."""
@@ -188,6 +215,8 @@ class Encoder:
         if self.by_word and self.together:
             alone = self.alone.search
             fresh = set().union(*listed).difference(self.words)
+            if self.parted:
+                fresh.difference_update(self._part(fresh))
             plain = [word for word in fresh if len(word) <= KEPT_LENGTH and not alone(word)]
             for at in range(0, len(plain), _TOGETHER):
                 self._learn(plain[at : at + _TOGETHER])
@@ -200,6 +229,12 @@ class Encoder:
         return ids
 
 
+@lru_cache(maxsize=1)
+def known_encoder(path: str) -> Encoder:
+    """The encoder that the tasks of one Python worker share."""
+    return Encoder(path)
+
+
 def _byte_of() -> dict[str, int]:
     """The byte for which each character of a byte-level vocabulary stands.
 
@@ -254,7 +289,7 @@ def encode(docs: DataFrame, tokenizer_path: str | None = None) -> DataFrame:
     """
 
     def start() -> Callable[[dict], dict]:
-        encoder = Encoder(_path(tokenizer_path))
+        encoder = known_encoder(_path(tokenizer_path))
 
         def work(batch: dict) -> dict:
             ids = encoder.encode_all(batch["text"])
