@@ -380,3 +380,28 @@ def test_links_of_a_large_group_are_never_held_at_once(monkeypatch):
     assert max(sizes) <= 64 * 1000
     edges = found[found["node"] != found["other"]]
     assert (len(edges), edges["other"].nunique()) == (1099, 101)
+
+
+def test_a_text_in_many_pairs_is_read_once(monkeypatch):
+    chance = random.Random(11)
+    base = some_words(chance, 60)
+    texts = [" ".join(base[: 60 - i] + some_words(chance, i % 9)) for i in range(14)] + ["", "a", "a a a a a a a"]
+    hashes = near.WordHashes()
+    words = [hashes.of(near.WORD.findall(text)) for text in texts]
+    read = []
+    labelled = near.labelled
+    monkeypatch.setattr(near, "labelled", lambda w: read.append(len(w)) or labelled(w))
+    for most, reads in ((10_000, len(texts)), (100, None)):
+        monkeypatch.setattr(near, "KEPT_WORDS", most)
+        read.clear()
+        compared = near.Compared()
+        found = [
+            compared.similar(bytes([i]), one, bytes([j]), other)
+            for i, one in enumerate(texts)
+            for j, other in enumerate(texts)
+        ]
+        assert reads in (None, len(read))
+        # few are held at once, and read again when asked for again
+        assert sum(len(w) for w, _ in compared.values()) <= most + 2 * 60
+        assert found == [jaccard(a, b) >= 0.8 and near.few_edits(x, y) for a, x in zip(texts, words) for b, y in zip(texts, words)]
+    assert any(found) and not all(found)

@@ -155,11 +155,22 @@ def band_values(listed: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), band)
 
 
+def labelled(words: np.ndarray) -> np.ndarray:
+    """The shingles of a text of hashed words, each told from its other occurrences, sorted."""
+    return np.sort(occurrence_labelled(shingles(words)))
+
+
+def overlap(x: np.ndarray, y: np.ndarray) -> float:
+    """The Jaccard similarity of two sorted sets."""
+    both = np.concatenate([x, y])
+    both.sort(kind="stable")
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    return shared / (len(both) - shared)
+
+
 def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     """Of the multisets of shingles of two texts of hashed words."""
-    x, y = (np.sort(occurrence_labelled(shingles(w))) for w in (a, b))
-    shared = np.isin(x, y, assume_unique=True).sum()
-    return shared / (len(x) + len(y) - shared)
+    return overlap(labelled(a), labelled(b))
 
 
 def within_edits(a: np.ndarray, b: np.ndarray, most: int) -> bool:
@@ -197,12 +208,37 @@ def within_edits(a: np.ndarray, b: np.ndarray, most: int) -> bool:
     return False
 
 
-def similar(a: np.ndarray, b: np.ndarray) -> bool:
-    if jaccard(a, b) < SIMILARITY:
-        return False
+def few_edits(a: np.ndarray, b: np.ndarray) -> bool:
     return within_edits(a, b, int((1 - SIMILARITY) * max(len(a), len(b)) + 1e-9))
 
 
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    return jaccard(a, b) >= SIMILARITY and few_edits(a, b)
+
+
+class Compared(dict):
+    """Hashed words and labelled shingles of the texts that a task compares, kept by node: a text
+    that is in many pairs is read once. At most ``KEPT_WORDS`` words, and those of one text."""
+
+    def __init__(self):
+        self.hashes = WordHashes()
+        self.held = 0
+
+    def of(self, node: bytes, text: str) -> tuple[np.ndarray, np.ndarray]:
+        if node not in self:
+            if self.held > KEPT_WORDS:
+                self.clear()
+                self.held = 0
+            words = self.hashes.of(WORD.findall(text))
+            self[node] = words, labelled(words)
+            self.held += len(words)
+        return self[node]
+
+    def similar(self, node: bytes, one: str, leader: bytes, other: str) -> bool:
+        (a, x), (b, y) = self.of(node, one), self.of(leader, other)
+        return overlap(x, y) >= SIMILARITY and few_edits(a, b)
+
+
 def text_node(text: Column) -> Column:
     """The 128-bit digest by which equal texts are one node."""
     return F.unhex(F.md5(whole(text).cast("binary")))
@@ -283,12 +319,12 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Those (``node``, ``leader``) pairs whose texts are similar."""
 
     def start() -> Callable[[dict], dict]:
-        hashes = WordHashes()
+        compared = Compared()
 
         def work(batch: dict) -> dict:
             made: dict[str, list] = {"node": [], "leader": []}
             for node, leader, one, other in zip(*(batch[n] for n in ("node", "leader", "one", "other"))):
-                if similar(hashes.of(WORD.findall(one)), hashes.of(WORD.findall(other))):
+                if compared.similar(node, one, leader, other):
                     made["node"].append(node)
                     made["leader"].append(leader)
             return made
