@@ -382,6 +382,63 @@ def test_links_of_a_large_group_are_never_held_at_once(monkeypatch):
     assert (len(edges), edges["other"].nunique()) == (1099, 101)
 
 
+def test_a_shard_is_kept_as_rows_and_asked_in_waves(spark, monkeypatch):
+    draw = np.random.default_rng(6)
+    rows = draw.standard_normal((160, 12))
+    rows[100:] = rows[:60] + draw.standard_normal((60, 12)) * 0.05
+    table = [(i, [float(np.float32(x)) for x in row]) for i, row in enumerate(rows)]
+    table += [(1000 + i, v[:5]) for i, v in table[:20]] + [(2000, table[0][1])]
+    written = []
+    write = embeddings.materialize
+
+    def measured(df, name):
+        made = write(df, name)
+        sizes = [f"size({c})" for c, kind in made.dtypes if kind.startswith("array")]
+        lengths = [f"length({c})" for c, kind in made.dtypes if kind in ("binary", "string")]
+        most = made.selectExpr(*[f"max({e})" for e in sizes + lengths]).first() if sizes + lengths else []
+        written.append((name, made.count(), max([m for m in most if m is not None], default=0)))
+        return made
+
+    monkeypatch.setattr(embeddings, "materialize", measured)
+    whole = sorted(map(tuple, embeddings.linked_vectors(_vectors(spark, table)).collect()))
+    assert [rows for name, rows, _ in written if name == "vectors-graphs"] == [180]
+    assert max(most for *_, most in written) <= 9 * hnsw.DEGREE
+    assert sum(links > 0 for _, links, *_ in whole) >= 120
+    written.clear()
+    monkeypatch.setattr(embeddings, "WAVE_ROWS", 180)
+    monkeypatch.setattr(embeddings, "PART_ROWS", 50)
+    assert sorted(map(tuple, embeddings.linked_vectors(_vectors(spark, table)).collect())) == whole
+    assert [name for name, *_ in written].count("vectors-links") == embeddings.LEAST_SHARDS
+
+
+def test_graph_as_lists():
+    x = embeddings.unit(np.random.default_rng(3).standard_normal((900, 8)))
+    graph = hnsw.build(x)
+    starts, values = hnsw.as_lists(graph)
+    again = hnsw.from_lists(x, np.diff(starts), values)
+    assert len(graph.layers) > 1 and again.entry == graph.entry
+    assert all(map(np.array_equal, again.layers, graph.layers))
+
+
+def test_pairs_are_held_a_few_at_a_time(monkeypatch):
+    draw = np.random.default_rng(4)
+    x = draw.standard_normal((1200, 16))
+    x[:400] = x[0] + 0.02 * draw.standard_normal((400, 16))
+    graph = hnsw.build(embeddings.unit(x))
+    pairs = lambda pieces: set(zip(*map(np.ndarray.tolist, map(np.concatenate, zip(*pieces)))))
+    whole = pairs(embeddings.find_links(graph, x, x, 0.9))
+    beam = embeddings.audited_beam(graph, embeddings.unit(x), 0.9)
+    monkeypatch.setattr(embeddings, "PAIRS_AT_ONCE", 1000)
+    pieces = list(embeddings.find_links(graph, x, x, 0.9))
+    assert max(len(rows) for rows, _ in pieces) <= 1000
+    assert len(whole) > 160_000 and pairs(pieces) == whole
+    held = []
+    whole_pairs = embeddings._all
+    monkeypatch.setattr(embeddings, "_all", lambda p: held.append(whole_pairs(p)) or held[-1])
+    assert embeddings.audited_beam(graph, embeddings.unit(x), 0.9) == beam
+    assert max(len(rows) for rows, _ in held) <= 1000
+
+
 def test_a_text_in_many_pairs_is_read_once(monkeypatch):
     chance = random.Random(11)
     base = some_words(chance, 60)
